@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+from geoframe.llm.audio import op6_audio
+from geoframe.llm.chat import OP1_SQL, op1_chat
+from geoframe.llm.html import op4_density
+from geoframe.llm.mixing import op3_mixing
+from geoframe.llm.packing import op9_packing
+from geoframe.llm.quality import OP2_SQL, op2_quality
 from geoframe.llm.simhash import op5_simhash
 from geoframe.llm.suffix import op8_suffix
+from geoframe.llm.tokens import op7_separators
+from geoframe.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op1_chat": op1_chat,
+    "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
+    "op4_density": op4_density,
     "op5_simhash": op5_simhash,
+    "op6_audio": op6_audio,
+    "op7_separators": op7_separators,
     "op8_suffix": op8_suffix,
+    "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_chat": OP1_SQL,
+    "op2_quality": OP2_SQL,
+    "op10_warc": OP10_SQL,
+}
