@@ -23,7 +23,7 @@ FRAME, HOP, FFT, MELS = 200, 80, 256, 24
 PATCH = 16
 FLOOR = 1e-6
 #: Decibels over the clip's median at which a segment begins, and under which it ends.
-BEGIN_DB, END_DB = 1.5, 0.0
+BEGIN_DB, END_DB = 1.5, 0.5
 ALIGN = 64
 
 

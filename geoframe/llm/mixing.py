@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import cut, table
+from geoframe.llm.quality import SYMBOLS, let
 
 DOMAINS = ("clean", "toxic", "junk")
 #: Shares of all tokens that the domains are to have.
@@ -19,16 +20,30 @@ TARGETS = (0.90, 0.04, 0.06)
 #: The classifier is fitted on at most so many labelled documents, those with the least hash of the id.
 TRAINING = 20_000
 #: Words are hashed to so many numbers, which bounds the table of weights.
-BUCKETS = 1 << 15
-#: A text counts as so many independent words, which keeps posteriors soft on long texts.
-EVIDENCE = 60.0
+BUCKETS = 1 << 18
+#: A word counts if a domain has it in so many standard deviations more documents than expected.
+MARKED = 4.0
+#: At most so many of a text's words count in full, which keeps posteriors soft on long texts.
+EVIDENCE = 20.0
 ROUNDS, TOLERANCE, HELD = 60, 1e-9, 6
 
 
+def _level(ratio: Column, *bounds: float) -> Column:
+    return reduce(lambda a, b: a + b, ((ratio >= b).cast("int") for b in bounds)).cast("string")
+
+
 def words(text: Column) -> Column:
-    """Different words of a text, lower case without closing punctuation."""
-    lowered = F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+")
-    return F.array_distinct(F.filter(F.transform(lowered, lambda w: F.rtrim(w, F.lit(".,;:!?"))), lambda w: w != ""))
+    """Different words of a text, lower case without closing punctuation, and words for its shape: levels of symbols, capitals, marks, variety and length."""
+
+    def shape(t: Column, n: Column, plain: Column) -> list[Column]:
+        lost = lambda chars: F.char_length(t) - F.char_length(F.translate(t, chars, ""))
+        n = F.greatest(n, F.lit(1))
+        levels = {"symbols": _level(lost(SYMBOLS) / n, 0.1, 0.5), "capitals": _level(lost("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / F.greatest(F.char_length(t), F.lit(1)), 0.1, 0.3), "marks": _level(lost("!?") / n, 0.1, 0.5), "variety": _level(F.size(plain) / n, 0.3, 0.5), "words": _level(n, 10)}
+        return [F.concat(F.lit(f"#{k}"), v) for k, v in levels.items()]
+
+    split = lambda t: F.filter(F.split(F.lower(t), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    plain = lambda ws: F.array_distinct(F.transform(ws, lambda w: F.rtrim(w, F.lit(".,;:!?"))))
+    return let(F.coalesce(text, F.lit("")), lambda t: let(split(t), lambda ws: let(plain(ws), lambda p: F.concat(p, F.array(*shape(t, F.size(ws), p))))))
 
 
 def _bucket(word: Column) -> Column:
@@ -40,34 +55,45 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, training: int = TRAINING) -> DataFrame:
-    """(bucket, w0, w1, w2): log probabilities of hashed words in each domain, less their mean over the domains.
+    """(bucket, w0, w1, w2): how much more often documents of a domain have a hashed word than all do, as a logarithm.
 
-    At most BUCKETS rows. Labels without a value in both columns are left out; of repeated labels of
-    one document the largest domain counts. Without labels all weights are missing and posteriors equal.
+    Seen and expected numbers of documents are compared, both plus one. Only words that mark a domain
+    (MARKED) are kept: others say little, and in long texts there are many. Bucket -1 has the
+    logarithms of the domains' shares. At most BUCKETS + 1 rows. Labels without a value in both
+    columns are left out; of repeated labels of one document the largest domain counts. Without
+    labels there are no rows and posteriors are equal.
     """
     sample = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of(F.col("quality"), F.col("toxic")).alias("k")).dropna().groupBy("doc_id").agg(F.max("k").alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(training)
-    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(F.broadcast(sample), "doc_id").select("k", F.explode(words(F.col("text"))).alias("word"))
-    count = seen.groupBy(_bucket(F.col("word")).alias("bucket")).agg(*(F.sum(F.when(F.col("k") == k, 1).otherwise(0)).alias(f"c{k}") for k in range(len(DOMAINS))))
-    total = count.agg(*(F.sum(f"c{k}").alias(f"t{k}") for k in range(len(DOMAINS))))
-    logs = [F.log((F.col(f"c{k}") + 0.5) / (F.col(f"t{k}") + 0.5 * BUCKETS)) for k in range(len(DOMAINS))]
-    mean = reduce(lambda a, b: a + b, logs) / len(DOMAINS)
-    return count.join(F.broadcast(total)).select("bucket", *((x - mean).alias(f"w{k}") for k, x in enumerate(logs)))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(F.broadcast(sample), "doc_id").select("k", F.array_distinct(F.transform(words(F.col("text")), _bucket)).alias("buckets"))
+    number = range(len(DOMAINS))
+    counts = lambda name: [F.coalesce(F.sum(F.when(F.col("k") == k, 1).otherwise(0)), F.lit(0)).alias(f"{name}{k}") for k in number]
+    seen = texts.select("k", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(*counts("c"))
+    total = texts.agg(F.count("*").alias("n"), *counts("n")).where("n > 0")
+    every = reduce(lambda a, b: a + b, (F.col(f"c{k}") for k in number))
+    expected = [every * F.col(f"n{k}") / F.col("n") for k in number]
+    marks = reduce(lambda a, b: a | b, ((F.col(f"c{k}") - e) / F.sqrt(e + 1) >= MARKED for k, e in enumerate(expected)))
+    ratio = [F.log((F.col(f"c{k}") + 1) / (e + 1)).alias(f"w{k}") for k, e in enumerate(expected)]
+    prior = total.select(F.lit(-1).alias("bucket"), *(F.log((F.col(f"n{k}") + 1) / (F.col("n") + len(DOMAINS))).alias(f"w{k}") for k in number))
+    return seen.join(F.broadcast(total)).where(marks).select("bucket", *ratio).unionByName(prior)
 
 
 def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, p0, p1, p2) for each doc_id: words of all its rows, and soft domain membership.
 
-    Null ids are one group; empty and null texts have no tokens and equal posteriors.
+    Null ids are one group; empty and null texts have no tokens.
     """
+    number = range(len(DOMAINS))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    counted = given.select("doc_id", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long").alias("n_tokens"), F.lit(0).alias("n"), *(F.lit(0.0).alias(f"w{k}") for k in range(len(DOMAINS))))
-    scored = given.select("doc_id", F.explode(words(F.col("text"))).alias("word")).select("doc_id", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(weights), "bucket").select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit(1).alias("n"), *(f"w{k}" for k in range(len(DOMAINS))))
-    summed = counted.unionByName(scored).groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in range(len(DOMAINS))))
+    counted = given.select("doc_id", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long").alias("n_tokens"), F.lit(0).alias("n"), *(F.lit(0.0).alias(f"w{k}") for k in number))
+    scored = given.select("doc_id", F.explode(words(F.col("text"))).alias("word")).select("doc_id", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(weights.where("bucket >= 0")), "bucket").select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit(1).alias("n"), *(f"w{k}" for k in number))
+    summed = counted.unionByName(scored).groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in number))
+    prior = weights.where("bucket = -1").select(*(F.col(f"w{k}").alias(f"q{k}") for k in number))
     scale = EVIDENCE / F.greatest(F.col("n"), F.lit(EVIDENCE))
-    top = F.greatest(*(F.col(f"w{k}") for k in range(len(DOMAINS))))
-    power = [F.exp((F.col(f"w{k}") - top) * scale) for k in range(len(DOMAINS))]
+    score = [F.col(f"w{k}") * scale + F.coalesce(f"q{k}", F.lit(0.0)) for k in number]
+    marked = summed.join(F.broadcast(prior), F.lit(True), "left").select("doc_id", "n_tokens", *(x.alias(f"s{k}") for k, x in enumerate(score)))
+    power = [F.exp(F.col(f"s{k}") - F.greatest(*(F.col(f"s{j}") for j in number))) for k in number]
     total = reduce(lambda a, b: a + b, power)
-    return summed.select("doc_id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(power)))
+    return marked.select("doc_id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(power)))
 
 
 def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS) -> DataFrame:

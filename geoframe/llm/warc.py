@@ -80,13 +80,12 @@ def read_frame(bundle: bytes, frame: tuple[int, int]) -> bytes:
 def mark_revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     """(page_id, url, html, refers_to): of equal payloads of ``least`` bytes the smallest page_id is the response, others refer to it.
 
-    Only digests are grouped and joined. Null html is empty; a null page_id comes before others; of
-    repeated rows with one id none refers to another.
+    Only digests are grouped and joined. Null html is empty; a page without id is a response of its
+    own; of repeated rows with one id none refers to another.
     """
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     digest = given.withColumn("digest", F.unhex(F.sha2("html", 256)))
-    key = F.struct(F.col("page_id").isNotNull(), "page_id")
-    first = digest.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min(key)["page_id"].alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = digest.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     return digest.join(first, "digest", "left").select("page_id", "url", "html", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to"))
 
 
