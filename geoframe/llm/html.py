@@ -30,6 +30,8 @@ MARKS = frozenset(
     "footer foot header masthead comment comments commentlist discussion disqus replies reply respond cookie cookies consent gdpr notice notices notification alert disclaimer newsletter subscribe signup login search "
     "searchbox social share sharing sharebar related recommended recommendations popup modal overlay widget widgets pagination pager copyright skip outbrain taboola contentinfo complementary".split()
 )
+#: With one of these beside it a mark tells how the page is laid out, not what the element is, as in has-sidebar.
+LAYOUT = frozenset("has with no without layout".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/>]|$))", re.I)
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
@@ -98,6 +100,14 @@ def parse(source: str) -> Node:
     return root
 
 
+def _order(root: Node) -> list[Node]:
+    """All nodes, parents first."""
+    out = [root]
+    for node in out:
+        out += [c for c in node.children if not isinstance(c, str)]
+    return out
+
+
 def is_boilerplate(node: Node, in_article: bool) -> bool:
     if node.tag in DROPPED or node.tag == "header" and not in_article:
         return True
@@ -107,8 +117,10 @@ def is_boilerplate(node: Node, in_article: bool) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(x.lower() for x in _SPLIT.split(value)):
-            return True
+        if name in ("class", "id", "role"):
+            parts = {x.lower() for x in _SPLIT.split(value)}
+            if not MARKS.isdisjoint(parts) and LAYOUT.isdisjoint(parts):
+                return not any(x.tag in ("article", "main") for x in _order(node))
     return False
 
 
@@ -121,14 +133,6 @@ def prune(root: Node) -> None:
         todo += [(c, inside) for c in node.children if not isinstance(c, str)]
 
 
-def _order(root: Node) -> list[Node]:
-    """All nodes, parents first."""
-    out = [root]
-    for node in out:
-        out += [c for c in node.children if not isinstance(c, str)]
-    return out
-
-
 def link_share(root: Node) -> float:
     """Part of the page's characters that stand in links, 0.05 at least so that the base of the density's logarithm stays over one."""
     total = linked = 0
