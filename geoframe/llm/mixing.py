@@ -16,15 +16,19 @@ from geoframe.llm.quality import SYMBOLS, let
 
 DOMAINS = ("clean", "toxic", "junk")
 #: Shares of all tokens that the domains are to have.
-TARGETS = (0.90, 0.04, 0.06)
+TARGETS = (0.92, 0.05, 0.03)
+#: A domain is asked for at most so many times the share that it has, and a document for at most so many copies.
+RAISED, MOST = 1.25, 4.0
+#: Domains with less than about this share of the largest one's tokens are left as they are: a few documents can't make up for what they lack.
+STEERED = 0.01
 #: The classifier is fitted on at most so many labelled documents, those with the least hash of the id.
 TRAINING = 20_000
 #: Words are hashed to so many numbers, which bounds the table of weights.
 BUCKETS = 1 << 18
 #: A word counts if a domain has it in so many standard deviations more documents than expected.
 MARKED = 4.0
-#: At most so many of a text's words count in full, which keeps posteriors soft on long texts.
-EVIDENCE = 20.0
+#: At most so many of the words that a text has, and of those that it lacks, count in full, which keeps posteriors soft.
+EVIDENCE = 10.0
 ROUNDS, TOLERANCE, HELD = 60, 1e-9, 6
 
 
@@ -55,13 +59,14 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, training: int = TRAINING) -> DataFrame:
-    """(bucket, w0, w1, w2): how much more often documents of a domain have a hashed word than all do, as a logarithm.
-
-    Seen and expected numbers of documents are compared, both plus one. Only words that mark a domain
-    (MARKED) are kept: others say little, and in long texts there are many. Bucket -1 has the
-    logarithms of the domains' shares. At most BUCKETS + 1 rows. Labels without a value in both
-    columns are left out; of repeated labels of one document the largest domain counts. Without
-    labels there are no rows and posteriors are equal.
+    """(bucket, w0, w1, w2): what a hashed word says about the domains, as differences of logarithms.
+
+    Seen and expected numbers of documents that have it, and that lack it, are compared, both plus
+    one. Only words that mark a domain (MARKED) are kept: others say little, and in long texts there
+    are many. Bucket -1 has the logarithms of the domains' shares and what a text without any of the
+    words says. At most BUCKETS + 1 rows. Labels without a value in both columns are left out; of
+    repeated labels of one document the largest domain counts. Without labels there are no rows and
+    posteriors are equal.
     """
     sample = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of(F.col("quality"), F.col("toxic")).alias("k")).dropna().groupBy("doc_id").agg(F.max("k").alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(training)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(F.broadcast(sample), "doc_id").select("k", F.array_distinct(F.transform(words(F.col("text")), _bucket)).alias("buckets"))
@@ -72,9 +77,13 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, training: int = TRAINING)
     every = reduce(lambda a, b: a + b, (F.col(f"c{k}") for k in number))
     expected = [every * F.col(f"n{k}") / F.col("n") for k in number]
     marks = reduce(lambda a, b: a | b, ((F.col(f"c{k}") - e) / F.sqrt(e + 1) >= MARKED for k, e in enumerate(expected)))
-    ratio = [F.log((F.col(f"c{k}") + 1) / (e + 1)).alias(f"w{k}") for k, e in enumerate(expected)]
-    prior = total.select(F.lit(-1).alias("bucket"), *(F.log((F.col(f"n{k}") + 1) / (F.col("n") + len(DOMAINS))).alias(f"w{k}") for k in number))
-    return seen.join(F.broadcast(total)).where(marks).select("bucket", *ratio).unionByName(prior)
+    has = [F.log((F.col(f"c{k}") + 1) / (e + 1)).alias(f"h{k}") for k, e in enumerate(expected)]
+    lacks = [F.log((F.col(f"n{k}") - F.col(f"c{k}") + 1) / (F.col(f"n{k}") - e + 1)).alias(f"l{k}") for k, e in enumerate(expected)]
+    marked = cut(seen.join(F.broadcast(total)).where(marks).select("bucket", *has, *lacks))
+    none = F.broadcast(marked.agg(F.greatest(F.count("*"), F.lit(EVIDENCE)).alias("m"), *(F.coalesce(F.sum(f"l{k}"), F.lit(0.0)).alias(f"s{k}") for k in number)))
+    scale = EVIDENCE / F.col("m")
+    prior = total.join(none).select(F.lit(-1).alias("bucket"), *((F.log((F.col(f"n{k}") + 1) / (F.col("n") + len(DOMAINS))) + scale * F.col(f"s{k}")).alias(f"w{k}") for k in number))
+    return marked.join(none).select("bucket", *((F.col(f"h{k}") - scale * F.col(f"l{k}")).alias(f"w{k}") for k in number)).unionByName(prior)
 
 
 def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
@@ -96,37 +105,46 @@ def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
     return marked.select("doc_id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(power)))
 
 
+def reachable(targets: tuple[float, ...], shares: np.ndarray) -> np.ndarray:
+    """targets, none over RAISED times the domain's share; what that leaves goes to domains with room, in proportion to it."""
+    most = RAISED * shares
+    wanted = np.minimum(targets, most)
+    room = most - wanted
+    return wanted + max(0.0, 1 - wanted.sum()) * room / max(room.sum(), 1e-300)
+
+
 def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
-    """members (doc_id, n_tokens, p0, p1, ...) with ``rate``: nonnegative, such that sum(rate * n_tokens * p_k) is near targets[k] * all tokens.
+    """members (doc_id, n_tokens, p0, p1, ...) with ``rate``: 0 to MOST, such that sum(rate * n_tokens * p_k) is near the reachable targets times all tokens.
 
-    Least squares in the metric of the inverse Gram matrix of the domain tokens, in which the gradient
-    has Lipschitz constant 1: each round is a full step from a rate of 1 and a projection to rates
-    of 0 or more. A round is one aggregation to as many sums as there are domains. Rates are
-    checkpointed every HELD rounds. Without tokens all rates stay 1.
+    Least squares by projected gradient from a rate of 1, distances between rates weighted by tokens,
+    so that long and short documents of one membership have the same rate. Off totals are measured
+    with the inverse of sum(n_tokens * p_i * p_j), in which a full step is safe. A round is one
+    aggregation to as many sums as there are domains. Rates are checkpointed every HELD rounds.
+    Without tokens all rates stay 1.
     """
     names = [f"p{k}" for k in range(len(targets))]
-    part = [F.col("n_tokens") * F.col(p) for p in names]
+    tokens = [F.col("n_tokens") * F.col(p) for p in names]
     state = cut(members.withColumn("rate", F.lit(1.0)))
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    first = state.agg(F.sum("n_tokens").alias("all"), *(F.sum(part[i] * part[j]).alias(f"g{i}_{j}") for i, j in pairs)).first()
+    first = state.agg(F.sum("n_tokens").alias("all"), *(F.sum(tokens[i] * F.col(names[j])).alias(f"g{i}_{j}") for i, j in pairs), *(F.sum(t).alias(f"t{k}") for k, t in enumerate(tokens))).first()
     if not first["all"]:
         return state
     gram = np.zeros((len(names), len(names)))
     for i, j in pairs:
         gram[i, j] = gram[j, i] = first[f"g{i}_{j}"]
-    back = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
-    wanted = np.array(targets) * float(first["all"])
+    back = np.linalg.pinv(gram, rcond=STEERED, hermitian=True)
+    total = float(first["all"])
+    wanted = reachable(targets, np.array([first[f"t{k}"] for k in range(len(names))]) / total) * total
     last = np.inf
     for turn in range(rounds):
-        now = state.agg(*(F.sum(a * F.col("rate")) for a in part)).first()
-        off = np.array(now, float) - wanted
-        size = float(np.abs(off).max() / first["all"])
+        off = np.array(state.agg(*(F.sum(t * F.col("rate")) for t in tokens)).first(), float) - wanted
+        size = float(np.abs(off).max() / total)
         if size < TOLERANCE or abs(last - size) < TOLERANCE * 1e-2:
             break
         last = size
         step = back @ off
-        moved = reduce(lambda a, b: a + b, (a * float(y) for a, y in zip(part, step)))
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - moved))
+        moved = reduce(lambda a, b: a + b, (F.col(p) * float(y) for p, y in zip(names, step)))
+        state = state.withColumn("rate", F.least(F.lit(MOST), F.greatest(F.lit(0.0), F.col("rate") - moved)))
         if turn % HELD == HELD - 1:
             state = cut(state)
     return state

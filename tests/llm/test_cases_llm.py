@@ -162,13 +162,13 @@ def test_mixing_cases(spark):
 def test_rates_match_targets_or_come_close(spark):
     random.seed(2)
     members = spark.createDataFrame([(k, random.randrange(1, 900), *(lambda p: (p, 1 - p))(random.random())) for k in range(300)], "doc_id long, n_tokens long, p0 double, p1 double")
-    for targets in ((0.8, 0.2), (0.3, 0.7), (0.999, 0.001)):
+    for targets in ((0.6, 0.4), (0.45, 0.55), (0.999, 0.001)):
         got = mixing.fit_rates(members, targets, rounds=400).toPandas()
-        assert (got.rate >= 0).all()
-        a = np.stack((got.n_tokens * got.p0, got.n_tokens * got.p1))
-        off = a @ got.rate / got.n_tokens.sum() - targets
-        if targets[0] < 0.9:
-            assert np.abs(off).max() < 1e-6
+        assert ((got.rate >= 0) & (got.rate <= mixing.MOST)).all()
+        a, n = np.stack((got.n_tokens * got.p0, got.n_tokens * got.p1)), got.n_tokens.sum()
+        want = mixing.reachable(targets, a.sum(1) / n)
+        assert abs(want.sum() - 1) < 1e-9 and (want <= mixing.RAISED * a.sum(1) / n + 1e-9).all()
+        assert np.abs(a @ got.rate / n - want).max() < 1e-6
 
 
 def test_classifier_on_held_out_labels(spark):
@@ -287,6 +287,12 @@ def test_main_text():
     assert html.main_text("<body><div><p>" + "word " * 50000 + "</p></div><div class=menu>x</div></body>") == ("word " * 50000).strip()
 
 
+@pytest.mark.parametrize("wrapper", ["has-sidebar", "page no-comments", "sidebar"])
+def test_layout_classes_keep_the_article(wrapper):
+    page = f"<body><div class='{wrapper}'><main><p>Kept words of the article.</p></main><div class='sidebar'><p>Gone words.</p></div></div></body>"
+    assert html.main_text(page) == "Kept words of the article."
+
+
 def test_extract_cases(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 7), (1, "u", PAGE, 7), (None, None, None, None), (2, "v", "", 8)], "page_id long, url string, html string, text int")
     got = html.extract(pages.withColumnRenamed("text", "extra"))
