@@ -6,7 +6,7 @@ from importlib import import_module
 
 from geoframe.catalog import ORACLE, QUERIES
 
-MODULES = ("scalars", "shapes", "filters", "joins", "sets", "sums", "axes", "stores", "streams", "requests")
+MODULES = ("scalars", "shapes", "filters", "joins", "sets", "sums", "axes", "stores", "streams", "requests", "pipelines")
 
 for _name in MODULES:
     import_module(f"geoframe.plans.{_name}")
