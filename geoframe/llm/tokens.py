@@ -19,7 +19,17 @@ from geoframe.llm.common import stored, table
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words of these characters only are cut where letters, single digits and other signs meet, as the tokenizer's own pattern cuts them; NFC leaves them alone and lower case maps each to one.
 _PLAIN = re.compile(r"[!-&(-;=?-~A-Za-zÀ-ÖØ-öø-ÿ]+")
-_PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
+_PIECES = re.compile(r"[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level model writes the characters of U+0080 to U+00FF: each UTF-8 byte as a printable letter, the other bytes as those from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letter = {x: chr(x) for x in own} | {x: chr(256 + k) for k, x in enumerate(x for x in range(256) if x not in own)}
+    return {x: "".join(letter[y] for y in chr(x).encode()) for x in range(0x80, 0x100)}
+
+
+_BYTES = _byte_letters()
 #: Words and pieces that a worker remembers before it starts anew.
 _REMEMBERED = 300_000
 
@@ -37,24 +47,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
+        self.model = self.tokenizer.model
         self.words: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
 
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        found = self.pieces.get(piece)
+        if found is None:
+            written = piece if piece.isascii() else piece.translate(_BYTES)
+            found = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(written)])
+        return found
+
     def _learn(self, words: list[str]) -> None:
-        cut, whole, new = {}, [], set()
+        """Plain words go to the model in pieces, without the tokenizer's costly normalizing; all others are encoded as they are."""
+        piece, whole, known = self._piece, [], self.words
         for word in words:
-            if _PLAIN.fullmatch(word):
-                cut[word] = parts = _PIECES.findall(word.lower())
-                new.update(p for p in parts if p not in self.pieces)
+            low = word.lower()
+            if low.isascii() and low.isalpha():
+                known[word] = piece(low)
+            elif _PLAIN.fullmatch(word):
+                parts = _PIECES.findall(low)
+                known[word] = piece(parts[0]) if len(parts) == 1 else tuple(chain.from_iterable(map(piece, parts)))
             else:
                 whole.append(word)
-        fresh = list(new)
-        for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.pieces[part] = tuple(found.ids)
-        for word, parts in cut.items():
-            self.words[word] = self.pieces[parts[0]] if len(parts) == 1 else tuple(chain.from_iterable(self.pieces[p] for p in parts))
         for word, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self.words[word] = tuple(found.ids)
+            known[word] = tuple(found.ids)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts in turn as uint32, and where each text's end; null is empty."""
