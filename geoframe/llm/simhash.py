@@ -118,7 +118,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: For near_copies: bands of so many sampled shingles; a pair of similarity 0.8 shares a band with probability 0.998.
 BANDS, SAMPLED = 20, 6
-#: In each band a text is compared with so many that follow it in its bucket; what these leave apart is compared across components.
+#: In each band a text is compared with so many that follow it in its bucket; what these leave apart is compared across components by its rarest shingles.
 AHEAD = 8
 #: Buckets are dealt into parts of about so many for that, another way in each band.
 PART = 1024
@@ -180,6 +180,33 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float)
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _prefix_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b) of all pairs of (node, text, component) in different components that can be similar, without comparing all.
+
+    Of two similar sets each has at most a share 1 - similarity of its shingles outside the other, so
+    they share one of that many and one more, taken rarest first. A text whose rarest shingles are its
+    own has no partner, however large the group of texts that it resembles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text, component in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
+                found = np.unique(shingle_hashes(text, shingle)).view(np.int64)
+                n = len(found)
+                yield pa.record_batch([pa.array(np.full(n, node)), pa.array(np.full(n, component)), pa.array(np.full(n, n)), pa.array(found)], ["node", "component", "size", "shingle"])
+
+    sets = texts.select("node", "text", "component").mapInArrow(run, "node long, component long, size long, shingle long")
+    often = sets.groupBy("shingle").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("c > 1")
+    shared = sets.join(often, "shingle")
+    own = F.col("size") - F.count("*").over(Window.partitionBy("node"))
+    rank = own + F.row_number().over(Window.partitionBy("node").orderBy("c", "shingle"))
+    most = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
+    prefix = cut(shared.withColumn("rank", rank).where((F.col("rank") <= most) & (F.col("lo") < F.col("hi"))).select("shingle", "node", "component", "size"))
+    one, two = (prefix.select("shingle", F.col("node").alias(x), F.col("component").alias(f"of_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+    fit = F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9
+    return one.join(two, "shingle").where((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & fit).select("a", "b").distinct()
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) of the texts that copies or near copies of another text are linked to; others are absent.
 
@@ -188,8 +215,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     blocks of one fingerprint would be 3 to 5 bits wide and select nothing. Each text therefore has
     BANDS further fingerprints over SAMPLED shingles each; these are the blocks that pairs meet on.
     A pair is then verified by Hamming distance and by its exact similarity. No bucket is capped:
-    each text meets AHEAD others of its bucket, these links give components, and texts outside the
-    largest component of a bucket are then compared with all of the bucket's other components.
+    each text meets AHEAD others of its bucket and these links give components. Texts of larger
+    buckets that are still in different components are then compared if they share one of their
+    rarest shingles, as all similar ones do.
     Null texts and null ids are in no group; wordless texts only link to equal ones.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
@@ -212,13 +240,10 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     links = cut(similar(pairs, texts, shingle, similarity))
     groups = components(links)
 
-    big = members.where(F.col("n") > AHEAD + 1).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    count = big.groupBy("band", "bits", "component").agg(F.count("*").alias("n"))
-    main = count.groupBy("band", "bits").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    mixed = big.join(main, ["band", "bits"])
-    stray = mixed.where("component <> main").select("band", "bits", F.col("node").alias("a"), F.col("fp").alias("fp_a"), F.col("component").alias("from"))
-    rest = stray.join(mixed.drop("n"), ["band", "bits"]).where((F.col("from") != F.col("component")) & near("fp_a", "fp"))
-    rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    big = members.where(F.col("n") > AHEAD + 1).select("band", "bits", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = big.groupBy("band", "bits").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "bits")
+    apart = cut(big.join(mixed, ["band", "bits"]).select("node", "component").distinct())
+    rest = cut(_prefix_pairs(texts.join(apart, "node"), shingle, similarity).join(pairs, ["a", "b"], "left_anti"))
     groups = components(links.union(similar(rest, texts, shingle, similarity)))
 
     named = copies.join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
