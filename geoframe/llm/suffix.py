@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import cut, merge_spans, table, text_bytes
@@ -270,7 +270,8 @@ def repeats(plain: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 
     runs = _runs(plain.where(F.octet_length("text") >= length), length)
     key = F.xxhash64("text_id", "pack")
-    shared = runs.groupBy("core").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo < hi").select("core")
+    # cut, so that both sides of the join are plain exchanges, of which Spark splits a core that very many runs have
+    shared = cut(runs.groupBy("core").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo < hi").select("core"))
     alive = cut(runs.join(shared, "core"))
     single = alive.groupBy("core", "whole", "text_id", "pack").agg(F.min("doc").alias("doc"))
     entry = single.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc", "text_id", "pack")).alias("rep"))
