@@ -32,6 +32,8 @@ MARKS = frozenset(
 )
 #: With one of these beside it a mark tells how the page is laid out, not what the element is, as in has-sidebar.
 LAYOUT = frozenset("has with no without layout".split())
+#: Elements that hold text rather than lay out a page.
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p ul ol dl table pre blockquote figure details".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/>]|$))", re.I)
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
@@ -198,11 +200,35 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
+def _runs(node: Node) -> list[list[Node | str]]:
+    """Children in page order: neighbouring bare texts and inline elements together, other elements alone."""
+    out: list[list[Node | str]] = []
+    inline = False
+    for c in node.children:
+        if isinstance(c, str) and c.isspace():
+            if inline:
+                out[-1].append(c)
+            continue
+        now = isinstance(c, str) or c.tag in INLINE or c.tag == "br"
+        if now and inline:
+            out[-1].append(c)
+        else:
+            out.append([c])
+        inline = now
+    for run in out:
+        while isinstance(run[-1], str) and run[-1].isspace():
+            run.pop()
+    return out
+
+
 def main_text(source: str) -> str:
-    """Main text of a page: what is left of the marked boilerplate in the subtree of the largest density sum.
+    """Main text of a page: what is left of the marked boilerplate around the subtree of the largest density sum.
 
-    Subtrees off the path from there to the body join if their density and density sum reach the
-    least density on that path. A page without text gives an empty text.
+    The outermost article or main element around that subtree is taken whole. Without one, what is mostly
+    links and less dense than the least dense ancestor is left out of the highest ancestor under the body
+    that reaches the body's density. Outside of these, elements that aren't in TEXTS must also reach the
+    least density. Bare text and inline elements beside each other go together. A page without text gives
+    an empty text.
     """
     root = parse(source)
     share = link_share(root)
@@ -210,16 +236,39 @@ def main_text(source: str) -> str:
     measure(root, share)
     best = max(_order(root), key=lambda n: n.sum)
     path = [best]
-    while path[-1].tag != "body" and path[-1].parent and path[-1].parent is not root:
+    while path[-1].parent:
         path.append(path[-1].parent)
-    least = min(n.density for n in path)
-    on_path, todo, found = set(path), [path[-1]], []
+    inner = [n for n in path if n is best or n.tag not in ("html", "body", "#root")]
+    body = next((n for n in path if n.tag == "body"), path[-1])
+    least = min(n.density for n in [*inner, body])
+    whole = next((n for n in inner[::-1] if n.tag in ("article", "main")), best)
+    zone = whole if whole is not best else next((n for n in inner[::-1] if n.density >= body.density), best)
+
+    def kept(run: list[Node | str], in_zone: bool) -> bool:
+        c = run[0]
+        if len(run) == 1 and not isinstance(c, str) and (c.tag in ("h1", "p") or min(c.density, c.sum) >= least):
+            return True
+        nodes = [x for x in run if not isinstance(x, str)]
+        chars = sum(x.chars for x in nodes) + sum(len("".join(x.split())) for x in run if isinstance(x, str))
+        if 2 * sum(x.link_chars for x in nodes) > chars:
+            return False
+        return in_zone or isinstance(c, str) or c.tag in TEXTS or c.tag in INLINE or c.tag == "br"
+
+    on_path, todo, found = set(path), [(root, False)], []
     while todo:
-        node = todo.pop()
-        if node is best or node not in on_path:
+        node, in_zone = todo.pop()
+        if node is whole or node not in on_path:
             found += blocks(node)
-        else:
-            todo += [c for c in node.children[::-1] if not isinstance(c, str) and (c in on_path or c.tag in ("h1", "p") or min(c.density, c.sum) >= least)]
+            continue
+        in_zone = in_zone or node is zone
+        parts = []
+        for run in _runs(node):
+            if len(run) == 1 and run[0] in on_path:
+                parts.append((run[0], in_zone))
+            elif not on_path.isdisjoint(run) or kept(run, in_zone):
+                parts.append((Node("#run", None), in_zone))
+                parts[-1][0].children = run
+        todo += parts[::-1]
     return "\n".join(found)
 
 

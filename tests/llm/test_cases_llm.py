@@ -293,6 +293,28 @@ def test_layout_classes_keep_the_article(wrapper):
     assert html.main_text(page) == "Kept words of the article."
 
 
+LONG_P = "<p>" + "paragraph " * 50 + "</p>"
+PARTS = f"<h2>Second head</h2>Bare <b>bold</b> <a href=x>linked</a> words.<section>{LONG_P * 3}</section><ul><li>first</ul><table><tr><td>c1</table><pre>code</pre><blockquote>said</blockquote><div>short</div><section>{LONG_P * 2}</section>tail <em>end</em>"
+
+
+@pytest.mark.parametrize("wrapper", ["article", "main", "div"])
+def test_text_beside_the_densest_part_is_kept(wrapper):
+    got = html.main_text(f"<body><nav>menu</nav><{wrapper}>{PARTS}</{wrapper}><div>Small print</div></body>").split("\n")
+    para = ("paragraph " * 50).strip()
+    assert got == ["Second head", "Bare bold linked words.", *[para] * 3, "first", "c1", "code", "said", "short", *[para] * 2, "tail end"]
+
+
+def test_bare_text_of_an_article_with_a_dense_part():
+    bare = "0123456789" * 100
+    assert html.main_text(f"<body><article>{bare}<div>{LONG_P * 3}</div></article></body>").startswith(bare)
+    assert html.main_text(f"<body>{bare}<h3>Title</h3><div>{LONG_P * 3}</div></body>").startswith(f"{bare}\nTitle\n")
+
+
+def test_unmarked_menu_without_an_article_is_left_out():
+    menu = "<ul>" + "<li><a href=x>Menu item</a>" * 30 + "</ul>"
+    assert "Menu" not in html.main_text(f"<body><div>{menu}<h3>Title</h3><div>{LONG_P * 3}</div></div></body>")
+
+
 def test_extract_cases(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 7), (1, "u", PAGE, 7), (None, None, None, None), (2, "v", "", 8)], "page_id long, url string, html string, text int")
     got = html.extract(pages.withColumnRenamed("text", "extra"))
