@@ -5,6 +5,8 @@ Everything runs as DataFrame functions. The driver sees one number per domain an
 
 from __future__ import annotations
 
+import math
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -17,10 +19,10 @@ from geoframe.llm.quality import SYMBOLS, let
 DOMAINS = ("clean", "toxic", "junk")
 #: Shares of all tokens that the domains are to have.
 TARGETS = (0.92, 0.05, 0.03)
-#: A domain is asked for at most so many times the share that it has, and a document for at most so many copies.
-RAISED, MOST = 1.25, 4.0
-#: Domains with less than about this share of the largest one's tokens are left as they are: a few documents can't make up for what they lack.
-STEERED = 0.01
+#: Neither what a domain is raised to, as a multiple of its share, nor a document's copies have a bound.
+RAISED = MOST = math.inf
+#: Directions of memberships under this part of the largest one's eigenvalue don't exist but for rounding.
+RANK = 1e-12
 #: The classifier is fitted on at most so many labelled documents, those with the least hash of the id.
 TRAINING = 20_000
 #: Words are hashed to so many numbers, which bounds the table of weights.
@@ -29,7 +31,10 @@ BUCKETS = 1 << 18
 MARKED = 4.0
 #: At most so many of the words that a text has, and of those that it lacks, count in full, which keeps posteriors soft.
 EVIDENCE = 10.0
-ROUNDS, TOLERANCE, HELD = 60, 1e-9, 6
+#: Most rounds of the fit, off shares of tokens that count as none, and the weight of the multipliers' distance from where a fit starts.
+ROUNDS, TOLERANCE, HELD_BACK = 60, 1e-9, 1e-9
+#: Off shares of tokens that are reported.
+UNMET = 1e-6
 
 
 def _level(ratio: Column, *bounds: float) -> Column:
@@ -106,52 +111,85 @@ def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def reachable(targets: tuple[float, ...], shares: np.ndarray) -> np.ndarray:
-    """targets, none over RAISED times the domain's share; what that leaves goes to domains with room, in proportion to it."""
-    most = RAISED * shares
-    wanted = np.minimum(targets, most)
-    room = most - wanted
-    return wanted + max(0.0, 1 - wanted.sum()) * room / max(room.sum(), 1e-300)
+    """Shares that are asked for: the targets themselves, whatever shares the domains have."""
+    return np.array(targets, float)
 
 
 def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
-    """members (doc_id, n_tokens, p0, p1, ...) with ``rate``: 0 to MOST, such that sum(rate * n_tokens * p_k) is near the reachable targets times all tokens.
+    """members (doc_id, n_tokens, p0, p1, ...) with ``rate``, 0 or more, such that sum(rate * n_tokens * p_k) is the targets times all tokens.
 
-    Least squares by projected gradient from a rate of 1, distances between rates weighted by tokens,
-    so that long and short documents of one membership have the same rate. Off totals are measured
-    with the inverse of sum(n_tokens * p_i * p_j), in which a full step is safe. A round is one
-    aggregation to as many sums as there are domains. Rates are checkpointed every HELD rounds.
-    Without tokens all rates stay 1.
+    Also ``wanted`` and ``reached``, those sums as shares of all tokens, one number per domain. Targets
+    that no rates meet are met as nearly as least squares can, with a warning.
+
+    Projected gradient from a rate of 1, distances between rates weighted by tokens, so that long and
+    short documents of one membership have the same rate. The steps are added up before they are
+    projected, so a rate is max(0, 1 - sum(p_k * y_k)) with one number y_k per domain, and scaled by the
+    inverse of sum(n_tokens * p_i * p_j) over documents with a positive rate, which makes them Newton
+    steps; a step that doesn't help is shortened. A round is one aggregation to a few sums. Without
+    tokens all rates stay 1.
     """
     names = [f"p{k}" for k in range(len(targets))]
-    tokens = [F.col("n_tokens") * F.col(p) for p in names]
-    state = cut(members.withColumn("rate", F.lit(1.0)))
+    state = cut(members)
+    total = float(state.agg(F.sum("n_tokens")).first()[0] or 0)
+    wanted = reachable(targets, None)
+
+    def done(rate: Column, reached: list | None) -> DataFrame:
+        listed = lambda xs: F.array(*(F.lit(float(x)) for x in xs))
+        return state.select("*", rate.alias("rate"), listed(wanted).alias("wanted"), (listed(reached) if reached is not None else F.lit(None).cast("array<double>")).alias("reached"))
+
+    if not total:
+        return done(F.lit(1.0), None)
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    first = state.agg(F.sum("n_tokens").alias("all"), *(F.sum(tokens[i] * F.col(names[j])).alias(f"g{i}_{j}") for i, j in pairs), *(F.sum(t).alias(f"t{k}") for k, t in enumerate(tokens))).first()
-    if not first["all"]:
-        return state
-    gram = np.zeros((len(names), len(names)))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = first[f"g{i}_{j}"]
-    back = np.linalg.pinv(gram, rcond=STEERED, hermitian=True)
-    total = float(first["all"])
-    wanted = reachable(targets, np.array([first[f"t{k}"] for k in range(len(names))]) / total) * total
-    last = np.inf
-    for turn in range(rounds):
-        off = np.array(state.agg(*(F.sum(t * F.col("rate")) for t in tokens)).first(), float) - wanted
-        size = float(np.abs(off).max() / total)
-        if size < TOLERANCE or abs(last - size) < TOLERANCE * 1e-2:
+
+    def rate_at(y: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) - reduce(lambda a, b: a + b, (F.col(p) * float(v) for p, v in zip(names, y))))
+
+    def sums(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the sum of squared rates, the domains' totals and the Gram matrix of documents with a positive rate, tokens as shares."""
+        share = F.col("n_tokens") / total
+        rated = state.select(*names, share.alias("share"), rate_at(y).alias("rate"))
+        active = F.when(F.col("rate") > 0, F.col("share")).otherwise(0.0)
+        row = rated.agg(F.sum(F.col("share") * F.col("rate") * F.col("rate") / 2), *(F.sum(F.col("share") * F.col(p) * F.col("rate")) for p in names), *(F.sum(active * F.col(names[i]) * F.col(names[j])) for i, j in pairs)).first()
+        gram = np.zeros((len(names), len(names)))
+        for (i, j), v in zip(pairs, row[1 + len(names) :]):
+            gram[i, j] = gram[j, i] = v
+        return float(row[0]), np.array(row[1 : 1 + len(names)], float), gram
+
+    y = start = np.zeros(len(names))
+    half, reached, gram = sums(y)
+    used = 1
+    size, base = np.linalg.eigh(gram)
+    base = base[:, size > RANK * size.max()]
+    best, last = (np.linalg.norm(reached - wanted), y, reached), math.inf
+    while used < rounds:
+        value = lambda h, at: h + wanted @ at + HELD_BACK / 2 * (at - start) @ (at - start)
+        slope = base.T @ (wanted - reached + HELD_BACK * (y - start))
+        if np.abs(slope).max() < TOLERANCE / 10:
+            off = np.linalg.norm(reached - wanted)
+            if off < TOLERANCE or off > 0.9 * last:
+                break
+            start, last = y, off
+            continue
+        step = -np.linalg.solve(base.T @ gram @ base + HELD_BACK * np.eye(base.shape[1]), slope)
+        now, part, moved = value(half, y), 1.0, False
+        while used < rounds and not moved:
+            trial = y + part * base @ step
+            found = sums(trial)
+            used += 1
+            moved = value(found[0], trial) <= now + 1e-4 * part * (slope @ step) + 1e-15 * abs(now)
+            part /= 4
+        if not moved:
             break
-        last = size
-        step = back @ off
-        moved = reduce(lambda a, b: a + b, (F.col(p) * float(y) for p, y in zip(names, step)))
-        state = state.withColumn("rate", F.least(F.lit(MOST), F.greatest(F.lit(0.0), F.col("rate") - moved)))
-        if turn % HELD == HELD - 1:
-            state = cut(state)
-    return state
+        y, (half, reached, gram) = trial, found
+        best = min(best, (np.linalg.norm(reached - wanted), y, reached), key=lambda x: x[0])
+    off, y, reached = best
+    if off > UNMET:
+        warnings.warn(f"targets {wanted.tolist()} aren't met: reached {reached.tolist()}", stacklevel=2)
+    return done(rate_at(y), reached)
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None) -> DataFrame:
-    """(doc_id, n_tokens, p0, p1, p2, rate) for each doc_id of docs; the classifier is fitted on labelled_docs, docs by default."""
+    """(doc_id, n_tokens, p0, p1, p2, rate, wanted, reached) for each doc_id of docs; the classifier is fitted on labelled_docs, docs by default."""
     weights = cut(fit_classifier(labelled_docs or docs, labels))
     return fit_rates(cut(posteriors(docs, weights)), targets)
 
@@ -167,4 +205,4 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGE
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "n_tokens", *(F.round(f"p{k}", 6).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), F.round("rate", 6).alias("rate"))
+    return found.select("doc_id", "n_tokens", *(F.round(f"p{k}", 6).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), F.round("rate", 6).alias("rate"), *(F.round(F.col(c)[k], 6).alias(f"{c}_{d}") for c in ("wanted", "reached") for k, d in enumerate(DOMAINS)))

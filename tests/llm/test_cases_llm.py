@@ -171,6 +171,26 @@ def test_rates_match_targets_or_come_close(spark):
         assert np.abs(a @ got.rate / n - want).max() < 1e-6
 
 
+@pytest.mark.parametrize("shares", [(0.1, 0.88, 0.02), (0.95, 0.047, 0.003), (0.993, 0.004, 0.003)])
+def test_rates_match_the_targets_themselves(spark, shares):
+    made = np.random.default_rng(3)
+    p = np.eye(3)[made.choice(3, 3000, p=shares)] * 0.97 + made.dirichlet((1, 1, 1), 3000) * 0.03
+    members = spark.createDataFrame([(k, int(n), *map(float, x)) for k, (n, x) in enumerate(zip(made.integers(1, 900, 3000), p))], "doc_id long, n_tokens long, p0 double, p1 double, p2 double")
+    got = mixing.fit_rates(members).toPandas()
+    now = [(got.n_tokens * got[f"p{k}"] * got.rate).sum() / got.n_tokens.sum() for k in range(3)]
+    assert (got.rate >= 0).all() and np.abs(np.array(now) - mixing.TARGETS).max() < 1e-6
+    assert np.allclose(got.reached[0], now) and list(got.wanted[0]) == list(mixing.TARGETS)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    members = spark.createDataFrame([(1, 10, 0.5, 0.5), (2, 30, 0.6, 0.4)], "doc_id long, n_tokens long, p0 double, p1 double")
+    with pytest.warns(UserWarning, match="aren't met"):
+        got = mixing.fit_rates(members, (0.9, 0.1)).toPandas()
+    best = 30 * 0.6 * 0.9 + 30 * 0.4 * 0.1  # least squares on the second document alone, which is nearer than any mixture
+    rate = best * 40 / (18**2 + 12**2)
+    assert np.allclose(got.rate, [0, rate], atol=1e-5) and np.allclose(got.reached[0], np.array([18, 12]) * rate / 40, atol=1e-5)
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
