@@ -24,6 +24,10 @@ SIBLINGS = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": (
 
 #: Never article text.
 DROPPED = frozenset("head script style noscript template nav footer aside form button select input textarea iframe object svg canvas dialog menu title".split())
+#: Of these, elements that can hold the article when a page is wrapped in one or leaves one open.
+WRAPPERS = frozenset("head nav footer aside form button object dialog menu header".split())
+#: A mark only lowers the density of what has so much of the page's unlinked text, outside and inside an article, namely to this part.
+LARGE, LARGE_INSIDE, LOWERED = 1 / 3, 0.1, 0.1
 #: Words in class, id or role that mark menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
 MARKS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner banners nav navbar navigation menu menubar breadcrumb breadcrumbs topbar toolbar sidebar sidebars aside "
@@ -40,13 +44,15 @@ _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "attributes", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "attributes", "chars", "link_chars", "tags", "link_tags", "density", "sum", "closed", "marked", "articles", "mains", "plain")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.attributes = tag, parent, attributes
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.closed = self.marked = False
+        self.articles = self.mains = self.plain = 0
 
 
 def parse(source: str) -> Node:
@@ -74,6 +80,7 @@ def parse(source: str) -> Node:
                     break
                 node = node.parent
             if node is not root:
+                node.closed = True
                 at = node.parent
             continue
         if tag in CLOSES_P:
@@ -110,29 +117,76 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
-def is_boilerplate(node: Node, in_article: bool) -> bool:
-    if node.tag in DROPPED or node.tag == "header" and not in_article:
+def _value(m: re.Match) -> str:
+    return m[2] or m[3] or m[4] or ""
+
+
+def is_hidden(node: Node) -> bool:
+    """Whether a node is never shown as text."""
+    if node.tag in DROPPED and node.tag not in WRAPPERS:
         return True
     if not node.attributes or node.tag in ("html", "body", "article", "main", "#root"):
         return False
     for m in _ATTRIBUTE.finditer(node.attributes):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+        name = m[1].lower()
+        if name == "hidden" or name == "aria-hidden" and _value(m).lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", _value(m), re.I):
             return True
-        if name in ("class", "id", "role"):
-            parts = {x.lower() for x in _SPLIT.split(value)}
+    return False
+
+
+def is_marked(node: Node) -> bool:
+    if not node.attributes or node.tag in ("html", "body", "article", "main", "#root"):
+        return False
+    for m in _ATTRIBUTE.finditer(node.attributes):
+        if m[1].lower() in ("class", "id", "role"):
+            parts = {x.lower() for x in _SPLIT.split(_value(m))}
             if not MARKS.isdisjoint(parts) and LAYOUT.isdisjoint(parts):
-                return not any(x.tag in ("article", "main") for x in _order(node))
+                return True
+    return False
+
+
+def count(root: Node) -> None:
+    """Articles, main elements and unlinked characters of every subtree."""
+    for node in reversed(_order(root)):
+        node.plain += sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        node.articles += node.tag == "article"
+        node.mains += node.tag == "main"
+        if node.tag == "a":
+            node.plain = 0
+        if node.parent:
+            up = node.parent
+            up.articles, up.mains, up.plain = up.articles + node.articles, up.mains + node.mains, up.plain + node.plain
+
+
+def is_boilerplate(node: Node, root: Node, in_article: bool, in_content: bool) -> bool:
+    """Whether a node goes with all that it holds. A mark on a large part of the page is noted instead."""
+    share = node.plain / max(1, root.plain)
+    if node.tag == "form":
+        if node.closed and not node.articles and not node.mains and share < 0.5:
+            return True
+    elif node.tag in DROPPED or node.tag == "header" and not in_content:
+        # articles in an aside or a footer beside others are teasers
+        every = node.articles and node.articles == root.articles and not root.mains
+        if not (node.mains or every or node.articles and share >= 0.5):
+            return True
+    if is_marked(node) and not node.articles and not node.mains:
+        if share < (LARGE_INSIDE if in_article else LARGE):
+            return True
+        node.marked = True
     return False
 
 
 def prune(root: Node) -> None:
-    todo = [(root, False)]
+    for node in _order(root):
+        node.children = [c for c in node.children if isinstance(c, str) or not is_hidden(c)]
+    count(root)
+    todo = [(root, False, False)]
     while todo:
-        node, inside = todo.pop()
-        inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not is_boilerplate(c, inside)]
-        todo += [(c, inside) for c in node.children if not isinstance(c, str)]
+        node, article, content = todo.pop()
+        article = article or node.tag == "article"
+        content = content or article or node.tag == "main"
+        node.children = [c for c in node.children if isinstance(c, str) or not is_boilerplate(c, root, article, content)]
+        todo += [(c, article, content) for c in node.children if not isinstance(c, str)]
 
 
 def link_share(root: Node) -> float:
@@ -168,7 +222,11 @@ def measure(root: Node, share: float) -> None:
             base = math.log(c * lc / max(1, c - lc) + share * c + math.e)
             node.density = max(0.0, c / t * math.log(max(1e-9, c / max(1, lc) * t / lt)) / math.log(base))
     for node in nodes:
-        node.sum = own[node] + sum(c.density for c in node.children if not isinstance(c, str))
+        node.marked = node.marked or node.parent is not None and node.parent.marked
+        if node.marked:
+            node.density *= LOWERED
+    for node in nodes:
+        node.sum = own[node] * (LOWERED if node.marked else 1) + sum(c.density for c in node.children if not isinstance(c, str))
 
 
 def blocks(node: Node) -> list[str]:
@@ -250,7 +308,7 @@ def main_text(source: str) -> str:
             return True
         nodes = [x for x in run if not isinstance(x, str)]
         chars = sum(x.chars for x in nodes) + sum(len("".join(x.split())) for x in run if isinstance(x, str))
-        if 2 * sum(x.link_chars for x in nodes) > chars:
+        if any(x.marked for x in nodes) and not best.marked or 2 * sum(x.link_chars for x in nodes) > chars:
             return False
         return in_zone or isinstance(c, str) or c.tag in TEXTS or c.tag in INLINE or c.tag == "br"
 

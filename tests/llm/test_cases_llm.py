@@ -330,6 +330,22 @@ def test_bare_text_of_an_article_with_a_dense_part():
     assert html.main_text(f"<body>{bare}<h3>Title</h3><div>{LONG_P * 3}</div></body>").startswith(f"{bare}\nTitle\n")
 
 
+BODY = f"<h2>Head</h2>{LONG_P * 3}<ul><li>first</ul>"
+BODY_TEXT = ["Head", *[("paragraph " * 50).strip()] * 3, "first"]
+
+
+@pytest.mark.parametrize("opened", ["<form><article>{}</article></form>", "<form action=x><input value=1><div>{}</div><button>Send</button></form>", "<form><input value=1><div>{}</div>", "<nav><a href=x>Home</a><main>{}</main></nav>", "<aside><article>{}</article></aside>", "<div id=page class='header-fixed'><div>{}</div></div>", "<article><section class='social-history'>{}</section></article>"])
+def test_wrappers_keep_the_page(opened):
+    assert [x for x in html.main_text(f"<body>{opened.format(BODY)}</body>").split("\n") if x != "Home"] == BODY_TEXT
+
+
+def test_boilerplate_beside_an_article_still_goes():
+    comments = f"<section id=comments>{LONG_P * 6}</section>"
+    teaser = "<aside><article><p>Teaser words</p></article></aside>"
+    got = html.main_text(f"<body><form><p>Mail us</p></form><article>{BODY}</article>{teaser}{comments}</body>").split("\n")
+    assert got == BODY_TEXT
+
+
 def test_unmarked_menu_without_an_article_is_left_out():
     menu = "<ul>" + "<li><a href=x>Menu item</a>" * 30 + "</ul>"
     assert "Menu" not in html.main_text(f"<body><div>{menu}<h3>Title</h3><div>{LONG_P * 3}</div></div></body>")
