@@ -14,13 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoframe.llm.common import cut, table
-from geoframe.llm.quality import SYMBOLS, let
+from geoframe.llm.quality import SYMBOLS, WHITE, let
 
 DOMAINS = ("clean", "toxic", "junk")
 #: Shares of all tokens that the domains are to have.
 TARGETS = (0.92, 0.05, 0.03)
-#: Neither what a domain is raised to, as a multiple of its share, nor a document's copies have a bound.
-RAISED = MOST = math.inf
 #: Directions of memberships under this part of the largest one's eigenvalue don't exist but for rounding.
 RANK = 1e-12
 #: The classifier is fitted on at most so many labelled documents, those with the least hash of the id.
@@ -42,21 +40,37 @@ def _level(ratio: Column, *bounds: float) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Different words of a text, lower case without closing punctuation, and words for its shape: levels of symbols, capitals, marks, variety and length."""
+    """The different words of a text in lower case without closing punctuation, and words about it; those of an empty text for null.
 
-    def shape(t: Column, n: Column, plain: Column) -> list[Column]:
-        lost = lambda chars: F.char_length(t) - F.char_length(F.translate(t, chars, ""))
-        n = F.greatest(n, F.lit(1))
-        levels = {"symbols": _level(lost(SYMBOLS) / n, 0.1, 0.5), "capitals": _level(lost("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / F.greatest(F.char_length(t), F.lit(1)), 0.1, 0.3), "marks": _level(lost("!?") / n, 0.1, 0.5), "variety": _level(F.size(plain) / n, 0.3, 0.5), "words": _level(n, 10)}
-        return [F.concat(F.lit(f"#{k}"), v) for k, v in levels.items()]
+    The latter have a space: levels of symbols, capitals, marks, variety and length, and, beginning
+    with the space, the number of tokens, which are the words between white space. Only this one array
+    goes through explode, since Spark evaluates what stands beside it for each word, and through
+    explode_outer, since Spark would evaluate it once more to keep empty arrays out of explode.
+    """
+
+    def counts(t: Column) -> Column:
+        count = lambda marks: F.regexp_count(t, F.lit(marks))
+        n = F.when(t == "", 0).otherwise(1 + F.char_length(t) - F.char_length(F.replace(t, F.lit(" "), F.lit(""))))
+        closed = F.regexp_replace(F.lower(t), "[.,;:!?]++(?= |\\z)", "")
+        fields = {"n": n, "words": F.array_distinct(F.split(closed, " ")), "symbols": count(f"[{SYMBOLS}]"), "capitals": count("[A-Z]"), "marks": count("[!?]"), "chars": F.char_length(t)}
+        return F.struct(*(v.alias(k) for k, v in fields.items()))
 
-    split = lambda t: F.filter(F.split(F.lower(t), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    plain = lambda ws: F.array_distinct(F.transform(ws, lambda w: F.rtrim(w, F.lit(".,;:!?"))))
-    return let(F.coalesce(text, F.lit("")), lambda t: let(split(t), lambda ws: let(plain(ws), lambda p: F.concat(p, F.array(*shape(t, F.size(ws), p))))))
+    def whole(c: Column) -> Column:
+        n = F.greatest(c["n"], F.lit(1))
+        shape = {
+            "symbols": _level(c["symbols"] / n, 0.1, 0.5),
+            "capitals": _level(c["capitals"] / F.greatest(c["chars"], F.lit(1)), 0.1, 0.3),
+            "marks": _level(c["marks"] / n, 0.1, 0.5),
+            "variety": _level(F.size(c["words"]) / n, 0.3, 0.5),
+            "words": _level(c["n"], 10),
+        }
+        return F.concat(c["words"], F.array(F.concat(F.lit(" "), c["n"].cast("string")), *(F.concat(F.lit(f"# {k}"), v) for k, v in shape.items())))
+
+    return let(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{WHITE}]+", " ")), lambda t: let(counts(t), whole))
 
 
 def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+    return F.when(F.startswith(word, F.lit(" ")), -1).otherwise(F.pmod(F.xxhash64(word), F.lit(BUCKETS))).cast("int")
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -74,17 +88,17 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, training: int = TRAINING)
     posteriors are equal.
     """
     sample = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of(F.col("quality"), F.col("toxic")).alias("k")).dropna().groupBy("doc_id").agg(F.max("k").alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(training)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).join(F.broadcast(sample), "doc_id").select("k", F.array_distinct(F.transform(words(F.col("text")), _bucket)).alias("buckets"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("k", words(F.col("text")).alias("words"))
     number = range(len(DOMAINS))
     counts = lambda name: [F.coalesce(F.sum(F.when(F.col("k") == k, 1).otherwise(0)), F.lit(0)).alias(f"{name}{k}") for k in number]
-    seen = texts.select("k", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(*counts("c"))
-    total = texts.agg(F.count("*").alias("n"), *counts("n")).where("n > 0")
+    seen = cut(texts.select("k", F.explode_outer("words").alias("word")).select("k", _bucket(F.col("word")).alias("bucket")).groupBy("bucket").agg(*counts("c")))
+    total = seen.where("bucket = -1").select((F.col("c0") + F.col("c1") + F.col("c2")).alias("n"), *(F.col(f"c{k}").alias(f"n{k}") for k in number))
     every = reduce(lambda a, b: a + b, (F.col(f"c{k}") for k in number))
     expected = [every * F.col(f"n{k}") / F.col("n") for k in number]
     marks = reduce(lambda a, b: a | b, ((F.col(f"c{k}") - e) / F.sqrt(e + 1) >= MARKED for k, e in enumerate(expected)))
     has = [F.log((F.col(f"c{k}") + 1) / (e + 1)).alias(f"h{k}") for k, e in enumerate(expected)]
-    lacks = [F.log((F.col(f"n{k}") - F.col(f"c{k}") + 1) / (F.col(f"n{k}") - e + 1)).alias(f"l{k}") for k, e in enumerate(expected)]
-    marked = cut(seen.join(F.broadcast(total)).where(marks).select("bucket", *has, *lacks))
+    lacks = [F.log((F.greatest(F.col(f"n{k}") - F.col(f"c{k}"), F.lit(0)) + 1) / (F.greatest(F.col(f"n{k}") - e, F.lit(0.0)) + 1)).alias(f"l{k}") for k, e in enumerate(expected)]
+    marked = cut(seen.where("bucket >= 0").join(F.broadcast(total)).where(marks).select("bucket", *has, *lacks))
     none = F.broadcast(marked.agg(F.greatest(F.count("*"), F.lit(EVIDENCE)).alias("m"), *(F.coalesce(F.sum(f"l{k}"), F.lit(0.0)).alias(f"s{k}") for k in number)))
     scale = EVIDENCE / F.col("m")
     prior = total.join(none).select(F.lit(-1).alias("bucket"), *((F.log((F.col(f"n{k}") + 1) / (F.col("n") + len(DOMAINS))) + scale * F.col(f"s{k}")).alias(f"w{k}") for k in number))
@@ -97,24 +111,20 @@ def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
     Null ids are one group; empty and null texts have no tokens.
     """
     number = range(len(DOMAINS))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    counted = given.select("doc_id", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long").alias("n_tokens"), F.lit(0).alias("n"), *(F.lit(0.0).alias(f"w{k}") for k in number))
-    scored = given.select("doc_id", F.explode(words(F.col("text"))).alias("word")).select("doc_id", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(weights.where("bucket >= 0")), "bucket").select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit(1).alias("n"), *(f"w{k}" for k in number))
-    summed = counted.unionByName(scored).groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in number))
-    prior = weights.where("bucket = -1").select(*(F.col(f"w{k}").alias(f"q{k}") for k in number))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
+    # the word of a text's tokens has bucket -1, which stays without labels too
+    known = weights.select("bucket", *(f"w{k}" for k in number)).unionByName(docs.sparkSession.sql("SELECT -1 AS bucket, " + ", ".join(f"0D AS w{k}" for k in number))).groupBy("bucket").agg(*(F.sum(f"w{k}").alias(f"w{k}") for k in number))
+    scored = given.select("doc_id", F.explode_outer("words").alias("word")).select("doc_id", "word", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(known), "bucket")
+    prior = F.col("bucket") == -1
+    summed = scored.groupBy("doc_id").agg(F.sum(F.when(prior, F.substring("word", 2, 20).cast("long"))).alias("n_tokens"), F.count(F.when(~prior, 1)).alias("n"), *(F.coalesce(F.sum(F.when(~prior, F.col(f"w{k}"))), F.lit(0.0)).alias(f"w{k}") for k in number), *(F.max(F.when(prior, F.col(f"w{k}"))).alias(f"q{k}") for k in number))
     scale = EVIDENCE / F.greatest(F.col("n"), F.lit(EVIDENCE))
-    score = [F.col(f"w{k}") * scale + F.coalesce(f"q{k}", F.lit(0.0)) for k in number]
-    marked = summed.join(F.broadcast(prior), F.lit(True), "left").select("doc_id", "n_tokens", *(x.alias(f"s{k}") for k, x in enumerate(score)))
+    score = [F.col(f"w{k}") * scale + F.col(f"q{k}") for k in number]
+    marked = summed.select("doc_id", "n_tokens", *(x.alias(f"s{k}") for k, x in enumerate(score)))
     power = [F.exp(F.col(f"s{k}") - F.greatest(*(F.col(f"s{j}") for j in number))) for k in number]
     total = reduce(lambda a, b: a + b, power)
     return marked.select("doc_id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(power)))
 
 
-def reachable(targets: tuple[float, ...], shares: np.ndarray) -> np.ndarray:
-    """Shares that are asked for: the targets themselves, whatever shares the domains have."""
-    return np.array(targets, float)
-
-
 def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
     """members (doc_id, n_tokens, p0, p1, ...) with ``rate``, 0 or more, such that sum(rate * n_tokens * p_k) is the targets times all tokens.
 
@@ -131,7 +141,7 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds:
     names = [f"p{k}" for k in range(len(targets))]
     state = cut(members)
     total = float(state.agg(F.sum("n_tokens")).first()[0] or 0)
-    wanted = reachable(targets, None)
+    wanted = np.array(targets, float)
 
     def done(rate: Column, reached: list | None) -> DataFrame:
         listed = lambda xs: F.array(*(F.lit(float(x)) for x in xs))
@@ -195,12 +205,19 @@ def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None) -> DataFrame:
-    """docs resampled at the fitted rates, columns as given: a row of rate r comes floor(r) times, and once more for a share of r - floor(r) by a hash of its id."""
-    rates = mix(docs, labels, targets, labelled_docs).select(F.col("doc_id").alias("rate_id"), "rate")
+    """docs resampled at the fitted rates, columns as given, whatever their names.
+
+    A row of rate r comes floor(r) times, and once more for a share of r - floor(r) by a hash of its
+    id. Null ids are one group with one rate; null and empty texts have no tokens but a rate, too; an
+    empty table gives no rows.
+    """
+    rates = mix(docs.select("doc_id", "text"), labels, targets, labelled_docs).select(F.col("doc_id").alias("rate_id"), "rate")
     chance = F.pmod(F.xxhash64("rate_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = rates.select("rate_id", F.floor(F.col("rate") + chance).cast("int").alias("copies")).where("copies > 0")
-    joined = docs.join(copies, F.col("doc_id").cast("long").eqNullSafe(F.col("rate_id")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select(docs.columns)
+    copies = rates.select("rate_id", F.sequence(F.lit(1), F.floor(F.col("rate") + chance).cast("int")).alias("copies"), F.floor(F.col("rate") + chance).alias("times")).where("times > 0")
+    names = [f"given_{k}" for k in range(len(docs.columns))]
+    given = docs.toDF(*names)
+    joined = given.join(copies, F.col(names[docs.columns.index("doc_id")]).cast("long").eqNullSafe(F.col("rate_id")))
+    return joined.select(*names, F.explode("copies").alias("copy")).select(names).toDF(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from geoframe.llm.common import table
 
-WHITE = " \t\n\x0b\x0c\r"
+#: Inside a character class of a regular expression.
+WHITE = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 # Frequent function words of the four languages.
@@ -46,9 +47,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _removed(text: Column, characters: str) -> Column:
-    """How many of these characters a text has."""
-    return (F.char_length(text) - F.char_length(F.translate(text, characters, ""))).cast("long")
+def _count(text: Column, characters: str) -> Column:
+    """How many characters of a class a text has."""
+    return F.regexp_count(text, F.lit(f"[{characters}]")).cast("long")
 
 
 def _repeat_words(words: Column) -> Column:
@@ -73,24 +74,24 @@ def measure(text: Column) -> Column:
     """A struct of the counts and of the features that RULES name, for a whole text; null counts as empty."""
 
     def lines_of(t: Column) -> Column:
-        return F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, WHITE, "") != "")
+        return F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{WHITE}]"))
 
     def words_of(t: Column) -> Column:
-        return F.filter(F.split(t, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
+        return F.filter(F.split(t, f"[{WHITE}]+", -1), lambda w: w != "")
 
     def counts(t: Column) -> Column:
         return let(F.struct(words_of(t).alias("words"), lines_of(t).alias("lines")), lambda s: F.struct(
             F.size(s["words"]).cast("long").alias("n_words"),
-            F.char_length(F.translate(t, WHITE, "")).cast("long").alias("word_chars"),
-            _removed(t, SYMBOLS).alias("n_symbols"),
+            F.char_length(F.regexp_replace(t, f"[{WHITE}]+", "")).cast("long").alias("word_chars"),
+            _count(t, SYMBOLS).alias("n_symbols"),
             (F.size(s["lines"]) - F.size(F.array_distinct(s["lines"]))).cast("long").alias("n_dup_lines"),
             _repeat_words(s["words"]).alias("n_repeat_words"),
             F.size(s["lines"]).cast("long").alias("n_lines"),
-            F.size(F.filter(s["words"], lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")).isin(*STOP_WORDS))).alias("stops"),
-            F.size(F.filter(s["words"], lambda w: w.rlike("\\p{L}"))).alias("alphabetic"),
-            _removed(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("capitals"),
-            _removed(t, "!?").alias("marks"),
-            F.size(F.filter(s["lines"], lambda x: x.rlike("[.!?:;\\p{Pe}\\p{Pf}\"'][\\x20\\x09-\\x0D]*$"))).alias("ended"),
+            F.size(F.filter(F.split(F.regexp_replace(F.lower(t), f"[.,;:!?]++(?=[{WHITE}]|\\z)", ""), f"[{WHITE}]+", -1), lambda w: w.isin(*STOP_WORDS))).alias("stops"),
+            (F.size(s["words"]) - F.regexp_count(t, F.lit(f"(?<![^{WHITE}])[^\\p{{L}}{WHITE}]++(?![^{WHITE}])"))).alias("alphabetic"),
+            _count(t, "A-Z").alias("capitals"),
+            _count(t, "!?").alias("marks"),
+            F.size(F.filter(s["lines"], lambda x: x.rlike(f"[.!?:;\\p{{Pe}}\\p{{Pf}}\"'][{WHITE}]*$"))).alias("ended"),
         ))
 
     def ratios(c: Column) -> Column:
