@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -14,7 +15,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geoframe.llm.common import components, cut, table, text_bytes
 
@@ -116,145 +116,249 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: For near_copies: bands of so many sampled shingles; a pair of similarity 0.8 shares a band with probability 0.998.
-BANDS, SAMPLED = 20, 6
-#: In each band a text is compared with so many that follow it in its bucket; what these leave apart is compared across components by its rarest shingles.
-AHEAD = 8
-#: Buckets are dealt into parts of about so many for that, another way in each band.
-PART = 1024
-#: Texts of similarity 0.8 differ in about 11 of 64 bits, with a standard deviation of 3.
-FAR = 22
+#: Of the sets of shingles in order of hash, this share is looked at beyond what the prefix of a similar pair needs; as much must be shared.
+SPARE = 0.1
+#: Texts that share a rarest shingle with at most so many are compared pair by pair; larger groups are compared in blocks inside tasks.
+FEW = 16
+#: A block has at most about so many shingles and so many texts.
+BLOCK, MEMBERS = 1 << 17, 1 << 10
+#: A list of at most so many longs is broadcast, of more it is joined by a shuffle.
+BROADCAST = 1 << 18
 
 
-def _bands(hashes: np.ndarray, factor: np.ndarray, plus: np.ndarray) -> np.ndarray:
-    """For each band the SimHash of SAMPLED shingles, each the least of the text's shingles in an order of its own."""
-    least, pick = np.full(len(factor), np.iinfo(np.uint64).max), np.zeros(len(factor), np.uint64)
-    for at in range(0, len(hashes), 1024):
-        part = hashes[at : at + 1024]
-        mixed = (part[None, :] ^ plus[:, None]) * factor[:, None]
-        mixed ^= mixed >> np.uint64(29)
-        best = mixed.argmin(1)
-        low = mixed[np.arange(len(best)), best]
-        pick = np.where(low <= least, part[best], pick)
-        least = np.minimum(least, low)
-    bits = np.unpackbits(pick.astype(">u8").view(np.uint8)).reshape(BANDS, SAMPLED, 64).sum(1, dtype=np.int32)
-    return np.packbits(2 * bits > SAMPLED, axis=1).view(">u8").ravel().astype(np.uint64)
+def _bounded(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
+    """df, given as a checkpoint, with a broadcast hint if it has few rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def sketches(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(node, fp, bands array<long>) of each (node, text); a text without words has no bands."""
+def _overlap(n: int, similarity: float) -> int:
+    """How many of its n shingles a set shares with a similar one at least."""
+    return math.ceil(similarity * n - 1e-9)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
+
+
+def sketches(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(node, fp, need, prefix) of each (node, text) with words.
+
+    prefix are the shingles of least hash: of two similar sets, o shingles in common, the first l
+    common ones have at most o - l common ones behind them, so they are among the first n - o + l of
+    each. With l a share SPARE of the set's size a text shares at least ``need`` of its prefix with
+    the prefix of any similar one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(SEED)
-        factor = random.integers(1, 1 << 63, BANDS * SAMPLED, np.uint64) * np.uint64(2) + np.uint64(1)
-        plus = random.integers(0, 1 << 63, BANDS * SAMPLED, np.uint64)
         for batch in batches:
-            fps, bands, ends = [], [], [0]
-            for text in text_bytes(batch.column(1)):
-                found = shingle_hashes(text, shingle)
-                fps.append(simhash(found))
-                if len(found):
-                    bands.append(_bands(found, factor, plus))
-                ends.append(ends[-1] + BANDS * (len(found) > 0))
-            flat = np.concatenate(bands) if bands else np.empty(0, np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], ["node", "fp", "bands"])
+            nodes, fps, need, prefix = [], [], [], []
+            for node, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                hashes = shingle_hashes(text, shingle)
+                if len(hashes):
+                    found = np.unique(hashes)
+                    least = _overlap(len(found), similarity)
+                    nodes.append(node)
+                    fps.append(simhash(hashes))
+                    need.append(_overlap(least, SPARE))
+                    prefix.append(found[: len(found) - least + _overlap(len(found), SPARE)])
+            yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(need, pa.int64()), _lists(prefix)], ["node", "fp", "need", "prefix"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, fp long, bands array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, need long, prefix array<long>")
 
 
-def similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those (a, b) whose sets of shingles have a Jaccard similarity of at least ``similarity``, computed from the whole texts."""
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, fp, size, shingles) of each (node, fp, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last, keep = (None, None), []
-            for a, one, two in zip(batch.column(0).to_pylist(), text_bytes(batch.column(2)), text_bytes(batch.column(3))):
-                left = last[1] if last[0] == a else np.unique(shingle_hashes(one, shingle))
-                last = (a, left)
-                right = np.unique(shingle_hashes(two, shingle))
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(both >= similarity * (len(left) + len(right) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+            found = [np.unique(shingle_hashes(x, shingle)) for x in text_bytes(batch.column(2))]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), _lists(found)], ["node", "fp", "size", "shingles"])
 
-    one, two = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return texts.select("node", "fp", "text").mapInArrow(run, "node long, fp long, size long, shingles array<long>")
 
 
-def _prefix_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b) of all pairs of (node, text, component) in different components that can be similar, without comparing all.
+def rarest(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, fp, size, shared, prefix) of the sets that can have a similar one.
 
-    Of two similar sets each has at most a share 1 - similarity of its shingles outside the other, so
-    they share one of that many and one more, taken rarest first. A text whose rarest shingles are its
-    own has no partner, however large the group of texts that it resembles.
+    shared are the shingles that other sets have too. Of two similar sets each has at most a share
+    1 - similarity of its shingles outside the other, so that they share one of that many and one more,
+    taken rarest first: prefix has those of them that are shared. A text of which more is its own has
+    no partner, however large the group of texts is that it resembles.
     """
+    each = sets.select("node", "fp", "size", F.explode("shingles").alias("shingle"))
+    often = cut(each.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1"))
+    shared = each.join(often, "shingle").groupBy("node", "fp", "size").agg(F.collect_list(F.struct("c", "shingle")).alias("shared"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, all_, prefixes = [], [], []
+            for size, found in zip(batch.column(2).to_pylist(), batch.column(3)):
+                often, one = (found.values.field(k).to_numpy() for k in range(2))
+                most = size - _overlap(size, similarity) + 1 - (size - len(one))
+                keep.append(most > 0)
+                if most > 0:
+                    all_.append(np.sort(one))
+                    prefixes.append(one[np.lexsort((one, often))[:most]])
+            held = [c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:3]]
+            yield pa.record_batch([*held, _lists(all_), _lists(prefixes)], ["node", "fp", "size", "shared", "prefix"])
+
+    return shared.mapInArrow(run, "node long, fp long, size long, shared array<long>, prefix array<long>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those (a, b) whose sets of shingles have a Jaccard similarity of at least ``similarity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, text, component in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                found = np.unique(shingle_hashes(text, shingle)).view(np.int64)
-                n = len(found)
-                yield pa.record_batch([pa.array(np.full(n, node)), pa.array(np.full(n, component)), pa.array(np.full(n, n)), pa.array(found)], ["node", "component", "size", "shingle"])
-
-    sets = texts.select("node", "text", "component").mapInArrow(run, "node long, component long, size long, shingle long")
-    often = sets.groupBy("shingle").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("c > 1")
-    shared = sets.join(often, "shingle")
-    own = F.col("size") - F.count("*").over(Window.partitionBy("node"))
-    rank = own + F.row_number().over(Window.partitionBy("node").orderBy("c", "shingle"))
-    most = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
-    prefix = cut(shared.withColumn("rank", rank).where((F.col("rank") <= most) & (F.col("lo") < F.col("hi"))).select("shingle", "node", "component", "size"))
-    one, two = (prefix.select("shingle", F.col("node").alias(x), F.col("component").alias(f"of_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+            keep = []
+            for n, m, one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+                both = len(np.intersect1d(one.values.to_numpy(), two.values.to_numpy(), assume_unique=True))
+                keep.append(both > 0 and both >= similarity * (n + m - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    one, two = (sets.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("shared").alias(f"shared_{x}")) for x in "ab")
     fit = F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9
-    return one.join(two, "shingle").where((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & fit).select("a", "b").distinct()
+    met = pairs.join(one, "a").join(two, "b").where(fit)
+    return met.select("a", "b", "size_a", "size_b", "shared_a", "shared_b").mapInArrow(run, "a long, b long")
+
+
+def few_pairs(rare: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b), a < b, of sets that share a shingle of their prefixes with at most FEW; shingles that the same sets share count once."""
+    met = rare.join(groups.where(F.col("n") <= FEW), "shingle").groupBy("shingle").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    at = met.select("nodes").distinct().select("nodes", F.posexplode("nodes").alias("at", "a"))
+    return at.select("a", F.explode(F.slice("nodes", F.col("at") + 2, F.size("nodes"))).alias("b")).distinct()
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each of the left sets shares with each of the right ones, by products of 0/1 matrices."""
+    sides = [(np.repeat(np.arange(len(x)), [len(y) for y in x]), np.concatenate(x)) for x in (left, right)]
+    known = np.intersect1d(sides[0][1], sides[1][1])
+    placed = []
+    for row, value in sides:
+        at = np.minimum(np.searchsorted(known, value), max(0, len(known) - 1))
+        ok = known[at] == value if len(known) else np.zeros(len(value), bool)
+        order = np.argsort(at[ok], kind="stable")
+        placed.append((row[ok][order], at[ok][order]))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(known), 4096):
+        parts = []
+        for (row, at), n in zip(placed, out.shape):
+            a, b = np.searchsorted(at, (first, first + 4096))
+            part = np.zeros((n, 4096), np.float32)
+            part[row[a:b], at[a:b] - first] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def block_links(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that link all similar sets of each cluster, given as (cluster, node, size, shared), without a row for each pair.
+
+    Similar sets are of one size class or of neighbouring ones. A class is dealt into blocks by hash;
+    a task compares two blocks and gives each text one link to the least text that it reaches there.
+    """
+    sized = members.withColumn("kind", F.floor(F.log("size") / (math.log(1 / similarity) + 1e-9)))
+    load = sized.groupBy("cluster", "kind").agg(F.greatest(F.sum("size") / BLOCK, F.count("*") / MEMBERS).alias("load"))
+    parts = load.groupBy("cluster").agg(F.ceil(F.max("load")).cast("int").alias("parts"))
+    dealt = sized.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    meet = lambda low, i, high, j, side: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side"))
+    kind, part, every = F.col("kind"), F.col("part"), F.sequence(F.lit(0), F.col("parts") - 1)
+    tasks = F.concat(
+        F.transform(every, lambda j: meet(kind, part, kind + 1, j, 0)),
+        F.transform(every, lambda j: meet(kind - 1, j, kind, part, 1)),
+        F.transform(F.filter(every, lambda j: j >= part), lambda j: meet(kind, part, kind, j, 0)),
+        F.transform(F.filter(every, lambda j: j < part), lambda j: meet(kind, j, kind, part, 1)),
+    )
+    sent = dealt.select("cluster", "node", "size", "shared", F.explode(tasks).alias("t")).select("cluster", "t.*", "node", "size", "shared")
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        node, size, side = (rows.column(c).to_numpy() for c in ("node", "size", "side"))
+        sets = [np.asarray(x.values) for x in rows.column("shared")]
+        alone = (key[1].as_py(), key[2].as_py()) == (key[3].as_py(), key[4].as_py())
+        left, right = (np.arange(len(node)),) * 2 if alone else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        label = node.copy()
+        if len(left) and len(right):
+            both = _common([sets[k] for k in left], [sets[k] for k in right])
+            near = (both > 0) & (both >= similarity * (size[left][:, None] + size[right][None, :] - both) - 1e-9)
+            rows_of, columns = np.nonzero(near)
+            a, b = left[rows_of], right[columns]
+            while True:
+                least = np.minimum(label[a], label[b])
+                before = label.copy()
+                np.minimum.at(label, a, least)
+                np.minimum.at(label, b, least)
+                if (label == before).all():
+                    break
+        moved = label != node
+        return pa.table({"a": label[moved], "b": node[moved]})
+
+    return sent.groupBy("cluster", "low", "i", "high", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id) of the texts that copies or near copies of another text are linked to; others are absent.
+    """(doc_id, digest, component_id, text_group) of the texts that copies or near copies of another text are linked to; others are absent.
 
     Equal texts are always linked; others if the Jaccard similarity of their sets of word shingles is
-    at least ``similarity``. At 0.8 the 64-bit fingerprints of a pair differ in about 11 bits, so that
-    blocks of one fingerprint would be 3 to 5 bits wide and select nothing. Each text therefore has
-    BANDS further fingerprints over SAMPLED shingles each; these are the blocks that pairs meet on.
-    A pair is then verified by Hamming distance and by its exact similarity. No bucket is capped:
-    each text meets AHEAD others of its bucket and these links give components. Texts of larger
-    buckets that are still in different components are then compared if they share one of their
-    rarest shingles, as all similar ones do.
-    Null texts and null ids are in no group; wordless texts only link to equal ones.
+    at least ``similarity``. All such links count, up to hash collisions of 64 bits. At 0.8 the
+    fingerprints of a pair differ in about 11 of 64 bits, for which pigeonhole blocks would be 3 to 5
+    bits wide and select nothing. Blocks of fingerprints (``link``) therefore give the pairs within two
+    bits, which are verified by their similarity; all other pairs share one of their rarest shingles.
+    First a part of each set, in order of hash, tells which texts share enough with others; only
+    their sets are counted whole (``rarest``). Texts that share a rarest shingle with few are compared
+    by pairs, larger groups in blocks (``block_links``), so that no group emits its pairs.
+    digest is the SHA-256 of the text; rows that repeat an id with different texts are told apart by
+    it, and their groups by text_group. component_id is the smallest doc_id reachable. Null texts and null ids are in no group;
+    wordless texts only link to equal ones. An empty table gives no rows; other columns don't matter.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
-    digest = F.sha2("text", 256)
-    first = rows.select("doc_id", digest.alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("node"))
-    copies = cut(rows.select("doc_id", digest.alias("digest")).join(first, "digest").select("doc_id", "node"))
-    sketch = cut(sketches(rows.withColumnRenamed("doc_id", "node"), shingle))
-    sketch = sketch.join(copies.where("doc_id = node").select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    keyed = sketch.select("node", "fp", F.posexplode("bands").alias("band", "bits"))
-    size = keyed.groupBy("band", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(keyed.join(size, ["band", "bits"]))
-    texts = cut(rows.withColumnRenamed("doc_id", "node").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= FAR
-
-    part = F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / PART).cast("long"))
-    order = Window.partitionBy("band", "bits", "part").orderBy(F.xxhash64("band", "node"), "node")
-    ahead = members.withColumn("part", part).withColumn("other", F.collect_list(F.struct("node", "fp")).over(order.rowsBetween(1, AHEAD)))
-    met = ahead.select("node", "fp", F.explode("other").alias("o")).select("node", "fp", F.col("o.node").alias("node2"), F.col("o.fp").alias("fp2")).where(near("fp", "fp2"))
-    pairs = cut(met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct())
-    links = cut(similar(pairs, texts, shingle, similarity))
-    groups = components(links)
-
-    big = members.where(F.col("n") > AHEAD + 1).select("band", "bits", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = big.groupBy("band", "bits").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "bits")
-    apart = cut(big.join(mixed, ["band", "bits"]).select("node", "component").distinct())
-    rest = cut(_prefix_pairs(texts.join(apart, "node"), shingle, similarity).join(pairs, ["a", "b"], "left_anti"))
-    groups = components(links.union(similar(rest, texts, shingle, similarity)))
-
-    named = copies.join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
-    many = named.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    return named.join(many, "component_id").select("doc_id", "component_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null").withColumn("digest", F.unhex(F.sha2("text", 256)))
+    each = cut(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")))
+    first = each.groupBy("digest").agg(F.min("doc_id").alias("least"), F.sum("n").alias("copies"))
+    others = cut(each.join(first, "digest").where("doc_id > least").select("doc_id", "digest"))
+    if each.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1").isEmpty():
+        first = cut(first.withColumn("node", F.col("least")))
+        texts = rows.join(_bounded(others.select("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("node"), "text")
+    else:  # ids repeat: a number for each text, which no id may have
+        first = cut(first.withColumn("node", F.xxhash64("digest", "least")))
+        texts = rows.join(first.select("digest", "node", F.col("least").alias("doc_id")), ["digest", "doc_id"]).select("node", "text").dropDuplicates(["node"])
+    sketch = cut(sketches(texts, shingle, similarity))
+
+    prefix = sketch.select("node", F.explode("prefix").alias("shingle"))
+    twice = cut(prefix.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle"))
+    shares = prefix.join(twice, "shingle").groupBy("node").agg(F.count("*").alias("n"))
+    rich = cut(sketch.select("node", "fp", "need").join(shares, "node").where("n >= need").select("node", "fp"))
+    sets = cut(rarest(cut(shingle_sets(texts.join(_bounded(rich), "node"), shingle)), similarity))
+
+    prints = cut(sets.groupBy("fp").agg(F.min("node").alias("node")))
+    same = sets.join(prints.withColumnRenamed("node", "least"), "fp").where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    rare = sets.select("node", F.explode("prefix").alias("shingle"))
+    groups = cut(rare.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"))
+    pairs = cut(same.union(link(prints, 2, 5)).union(few_pairs(rare, groups)).distinct())
+    crowd = components(rare.join(groups.where(F.col("n") > FEW), "shingle").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    clusters = sets.join(crowd.withColumnRenamed("component", "cluster"), "node").select("cluster", "node", "size", "shared")
+    found = components(similar(pairs, sets, similarity).union(block_links(clusters, similarity)))
+
+    named = first.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = named.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("copies").alias("n")).where("n > 1").drop("n")
+    members = cut(named.join(kept, "component").select(F.col("least").alias("doc_id"), "digest", "component_id", F.col("component").alias("text_group")))
+    return members.union(others.join(members.drop("doc_id"), "digest").select(members.columns))
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without the near copies: of each group the row with the smallest doc_id stays, one row only; columns as given."""
-    found = near_copies(docs, shingle, similarity).where("doc_id <> component_id").select("doc_id").distinct()
-    held = docs.join(found, "doc_id", "left_anti").select(docs.columns)
-    keyed = held.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
-    twice = held.join(keyed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return held.join(keyed, "doc_id", "left_anti").unionByName(twice)
+    """docs without the near copies: of each group of near_copies the row with the smallest doc_id stays, one row only.
+
+    Columns as given. Rows whose id or text is null stay. Of rows of one group that repeat the smallest id the one with
+    the least digest stays.
+    """
+    found = near_copies(docs, shingle, similarity)
+    stays = found.groupBy("text_group").agg(F.min(F.struct("doc_id", "digest")).alias("stays"))
+    gone = cut(found.join(stays, "text_group").where(F.struct("doc_id", "digest") != F.col("stays")).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")))
+    id_, digest = docs["doc_id"].cast("long"), F.unhex(F.sha2(docs["text"], 256))
+    held = docs.join(_bounded(gone), (id_ == F.col("gone_id")) & (digest == F.col("gone_digest")), "left_anti")
+    key = [F.col("doc_id").cast("long").alias("twice_id"), F.unhex(F.sha2("text", 256)).alias("twice_digest")]
+    twice = cut(held.where("doc_id is not null and text is not null").select(*key).groupBy("twice_id", "twice_digest").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    if twice.isEmpty():
+        return held
+    match = (held["doc_id"].cast("long") == F.col("twice_id")) & (F.unhex(F.sha2(held["text"], 256)) == F.col("twice_digest"))
+    return held.join(twice, match, "left_anti").union(held.join(twice, match, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -89,3 +90,55 @@ def quality_counts(text):
             inside.update(range(i, i + 5))
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(inside)
+
+
+def text_words(text):
+    """Words of the mixing classifier, and the number of tokens."""
+    text = re.sub(r"[\x20\x09-\x0d]+", " ", text or "").strip(" ")
+    n = len(text.split(" ")) if text else 0
+    words = set(re.sub(r"[.,;:!?]+(?= |\Z)", "", text.lower()).split(" "))
+    level = lambda x, *bounds: sum(x >= b for b in bounds)
+    shape = {"symbols": level(len(re.findall(r"[#*$%&|<>]", text)) / max(n, 1), 0.1, 0.5), "capitals": level(len(re.findall("[A-Z]", text)) / max(len(text), 1), 0.1, 0.3), "marks": level(len(re.findall("[!?]", text)) / max(n, 1), 0.1, 0.5), "variety": level(len(words) / max(n, 1), 0.3, 0.5), "words": level(n, 10)}
+    return [*words, *(f"# {k}{v}" for k, v in shape.items())], n
+
+
+def memberships(rows, labels, buckets=1 << 18, marked=4.0, evidence=10.0):
+    """Tokens and the posteriors of clean, toxic and junk of each id; ids don't repeat."""
+    kind = {}
+    for i, quality, toxic in labels:
+        k = 1 if toxic == 1 else {1: 0, 0: 2}.get(quality)
+        if i is not None and k is not None:
+            kind[i] = max(kind.get(i, 0), k)
+    words = {i: text_words(t) for i, t in rows}
+    hits = {i: Counter(xxhash.xxh64_intdigest(w.encode(), 42) % buckets for w in ws) for i, (ws, _) in words.items()}
+    n, c = np.zeros(3), defaultdict(lambda: np.zeros(3))
+    for i in hits:
+        if i in kind:
+            n[kind[i]] += 1
+            for b, times in hits[i].items():
+                c[b][kind[i]] += times
+    has, lacks = {}, {}
+    for b, x in c.items():
+        e = x.sum() * n / n.sum()
+        if ((x - e) / np.sqrt(e + 1) >= marked).any():
+            has[b], lacks[b] = np.log((x + 1) / (e + 1)), np.log((np.maximum(n - x, 0) + 1) / (np.maximum(n - e, 0) + 1))
+    scale = evidence / max(len(has), evidence)
+    prior = np.log((n + 1) / (n.sum() + 3)) + scale * sum(lacks.values(), np.zeros(3))
+    out = {}
+    for i, found in hits.items():
+        own = {b: t for b, t in found.items() if b in has}
+        score = prior + sum((t * (has[b] - scale * lacks[b]) for b, t in own.items()), np.zeros(3)) * evidence / max(sum(own.values()), evidence)
+        power = np.exp(score - score.max())
+        out[i] = power / power.sum()
+    return {i: n for i, (_, n) in words.items()}, out
+
+
+def nearest_rates(share, p, targets):
+    """Of all nonnegative rates with sum(share * rate * p) = targets those nearest to one, distances weighted by share: Dykstra's projections."""
+    rate, held = np.ones(len(share)), np.zeros(len(share))
+    gram = np.linalg.pinv((p * share[:, None]).T @ p)
+    for _ in range(20000):
+        rate = rate + p @ gram @ (targets - p.T @ (share * rate))
+        other = np.maximum(rate + held, 0)
+        rate, held = other, rate + held - other
+    return rate

@@ -11,6 +11,7 @@ import pytest
 from oracle import connect, same
 from tokenizers import Tokenizer
 
+from geoframe.llm import mixing
 from geoframe.llm.html import main_text
 from geoframe.llm.registry import ORACLE, QUERIES
 from geoframe.llm.tokens import WORD_BPE
@@ -35,18 +36,23 @@ def test_suffix(spark, sf_dir, documents):
 
 
 def test_mixing(spark, sf_dir, documents):
-    from geoframe.llm.mixing import TARGETS, reachable
-
-    got = QUERIES["op3_mixing"](spark, sf_dir).toPandas()
+    labels = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    got = QUERIES["op3_mixing"](spark, sf_dir).toPandas().sort_values("doc_id")
     assert len(got) == len({i for i, _ in documents}) and (got.rate >= 0).all()
-    tokens = {i: len(re.findall(r"[^\x20\x09-\x0d]+", t)) for i, t in documents}
+    tokens, p = brute.memberships(documents, labels)
     assert dict(zip(got.doc_id, got.n_tokens)) == tokens
+    found = got[["p_clean", "p_toxic", "p_junk"]].to_numpy()
+    assert np.abs(found - np.array([p[i] for i in got.doc_id])).max() < 2e-6
     total = got.n_tokens.sum()
-    held = np.array([(got.n_tokens * got[c]).sum() / total for c in ("p_clean", "p_toxic", "p_junk")])
-    now = np.array([(got.n_tokens * got[c] * got.rate).sum() / total for c in ("p_clean", "p_toxic", "p_junk")])
-    want = reachable(TARGETS, held)
+    held, now = ((got.n_tokens.to_numpy()[:, None] * found * rate[:, None]).sum(0) / total for rate in (np.ones(len(got)), got.rate.to_numpy()))
     # so few labels mark hardly any words: memberships are nearly equal and can only come closer
-    assert np.linalg.norm(now - want) < np.linalg.norm(held - want)
+    assert np.linalg.norm(now - mixing.TARGETS) < np.linalg.norm(held - mixing.TARGETS)
+
+
+def test_mixing_meets_its_targets(spark):
+    got = QUERIES["op3_mixing"](spark, "/root/testdata/sf0.01").toPandas()
+    for column, share in zip(("p_clean", "p_toxic", "p_junk"), mixing.TARGETS):
+        assert abs((got.n_tokens * got[column] * got.rate).sum() / got.n_tokens.sum() - share) < 1e-3
 
 
 def test_separators(spark, sf_dir, documents):
