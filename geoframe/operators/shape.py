@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geoframe.sources.store import scratch
+
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Columns under their canonical names; names that df has not are ignored."""
@@ -106,9 +108,14 @@ def ring(tile: Column, wide: bool = False) -> Column:
 def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """df with consecutive positions from 0 in a total order, without gathering it in one task.
 
-    Rows are range-partitioned and sorted; counts of partitions, one row each, give where each begins.
+    Rows are range-partitioned and written once with the number of their partition, since Spark would
+    sample other ranges when it plans them again; counts of partitions, one row each, then give where
+    each begins. Nulls come first.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    spark, path = df.sparkSession, scratch(df.sparkSession, "numbered")
+    held = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    held.write.parquet(path)
+    ranged = spark.read.schema(held.schema).parquet(path)
     size = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     begin = size.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_begin"))
     inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
@@ -142,9 +149,12 @@ def first_of_group(df: DataFrame, group: list[str], order: list[str], count: int
 
 
 def extent(df: DataFrame, keys: list[str], axis: str, index: str, scale: float = 1.0) -> DataFrame:
-    """Outer edges of an axis of pixel centres: half a pixel beyond the first and the last one, scaled, to 6 places."""
+    """Outer edges of an axis of pixel centres: half a pixel beyond the first and the last one, scaled, to 6 places.
+
+    An axis of one pixel has no known width; both edges are its centre.
+    """
     found = df.groupBy(*keys).agg(F.min_by(axis, index).alias("first"), F.max_by(axis, index).alias("last"), F.count("*").alias("n"))
-    half = (F.col("last") - F.col("first")) / (F.col("n") - 1) / 2
+    half = F.coalesce(F.try_divide(F.col("last") - F.col("first"), F.col("n") - 1), F.lit(0.0)) / 2
     return found.select(*keys, F.round((F.col("first") - half) * scale, 6).alias("low"), F.round((F.col("last") + half) * scale, 6).alias("high"))
 
 

@@ -2,37 +2,67 @@
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir), or in a temporary one where it is unset."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir). Where it is unset, on one machine only, in a temporary one."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{(folder or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 class Store:
-    """A dataset at a path, partitioned by columns; only batches in its ledger are read."""
+    """A dataset at a path, partitioned by columns, and batches of products beside it, of which those in its ledger are read."""
 
-    def __init__(self, spark: SparkSession, path: str, partition: list[str]):
-        self.spark, self.path, self.ledger_path, self.partition = spark, f"{path}/data", f"{path}/ledger", partition
-        self.schema: StructType | None = None
+    def __init__(self, spark: SparkSession, path: str, partition: list[str], schema: StructType | None = None):
+        self.spark, self.path, self.partition, self.schema = spark, f"{path}/data", partition, schema
+        self.schema_path, self.batch_path, self.ledger_path = f"{path}/schema", f"{path}/batches", f"{path}/ledger"
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> Store:
+        """The store that an earlier process has made at the path."""
+        held = json.loads(spark.read.text(f"{path}/schema", wholetext=True).first()[0])
+        return cls(spark, path, held["partition"], StructType.fromJson(held["schema"]))
 
     def create(self, df: DataFrame, compression: str = "zstd") -> Store:
         """Writes a new store; rows are dealt by partition first, so that each partition is a few files."""
         self.schema = df.schema
+        held = json.dumps({"partition": self.partition, "schema": df.schema.jsonValue()})
+        self.spark.range(1).select(F.lit(held).alias("value")).coalesce(1).write.mode("overwrite").text(self.schema_path)
         df.repartition(*self.partition).write.mode("overwrite").option("compression", compression).partitionBy(*self.partition).parquet(self.path)
         return self
 
+    def _stored(self, path: str, *more: StructField) -> DataFrame | None:
+        """The rows at a path, or None if nothing was written there."""
+        fields = [f for f in self.schema if f.name not in self.partition] + [f for f in self.schema if f.name in self.partition]
+        try:
+            return self.spark.read.schema(StructType([*fields, *more])).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def batches(self) -> DataFrame | None:
+        """Rows of the batches in the ledger; what a failed batch has left isn't read."""
+        found = self._stored(self.batch_path, StructField("_batch", LongType()))
+        known = self.used().select(F.col("batch").alias("_batch")).distinct()
+        return found and found.join(known, "_batch", "left_semi").select(self.schema.names)
+
     def read(self) -> DataFrame:
-        schema = StructType([f for f in self.schema if f.name not in self.partition] + [f for f in self.schema if f.name in self.partition])
-        return self.spark.read.schema(schema).parquet(self.path).select([f.name for f in self.schema])
+        batches = self.batches()
+        rows = self._stored(self.path).select(self.schema.names)
+        return rows if batches is None else rows.unionByName(batches)
 
     def check(self, df: DataFrame) -> None:
         """Refuses rows whose columns the store has not all."""
@@ -46,8 +76,10 @@ class Store:
         return self
 
     def write_regions(self, df: DataFrame) -> Store:
-        """Replaces exactly the partitions that df has rows in."""
+        """Replaces exactly the partitions that df has rows in; a store with batches of products can only grow."""
         self.check(df)
+        if self._stored(self.batch_path) is not None:
+            raise ValueError("a store with batches of products has no regions")
         df.select(self.schema.names).repartition(*self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition).parquet(self.path)
         return self
 
@@ -59,11 +91,17 @@ class Store:
         """Rows with known keys overwrite, others are added; of repeated keys in df one row, the smallest, counts.
 
         Only partitions that df touches are rewritten, from a staging copy, since Spark doesn't overwrite what it reads.
+        A row stays in its partition: one whose key is known in another partition is refused.
         """
         self.check(df)
         names = self.schema.names
         rest = [c for c in names if c not in keys]
         new = df.select(names).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("m")).select(*keys, *(F.col(f"m.{c}").alias(c) for c in rest)).select(names)
+        if not set(self.partition) <= set(keys):
+            at = [c for c in self.partition if c not in keys]
+            other = self.read().select(*keys, *(F.col(c).alias(f"_{c}") for c in at)).join(new.select(*keys, *at), keys)
+            if not other.where(reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at))).isEmpty():
+                raise ValueError(f"known keys in other partitions of {at}")
         touched = self.read().join(new.select(*self.partition).distinct(), self.partition, "left_semi")
         merged = touched.join(new.select(*keys), keys, "left_anti").select(names).unionByName(new)
         staging = f"{self.path}-staging-{uuid.uuid4().hex}"
@@ -78,29 +116,39 @@ class Store:
         return True
 
     def used(self) -> DataFrame:
-        """Products of committed batches."""
+        """(product, batch) of committed batches; each has a row without product, too."""
         try:
             return self.spark.read.schema("product string, batch long").parquet(self.ledger_path)
-        except Exception as error:  # no batch yet
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:  # no batch yet
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], "product string, batch long")
 
     def append_products(self, df: DataFrame, product: str, batch: int) -> Store:
-        """Appends the rows of products that no earlier batch had, then commits their names; a batch that is there already is skipped."""
+        """Writes the rows of products that no earlier batch had as a batch, then commits their names; a batch that is there already is skipped.
+
+        A batch has a folder of its own, which a retry overwrites, and it is read only once its names are
+        in the ledger, which is one write. Whatever a run that failed in between has left doesn't count.
+        """
+        self.check(df)
         used = self.used()
-        if not used.where(F.col("batch") == batch).limit(1).isEmpty():
+        if not used.where(F.col("batch") == batch).isEmpty():
             return self
-        staging = f"{self.path}-staging-{uuid.uuid4().hex}"
-        df.join(used.select(F.col("product").alias(product)), product, "left_anti").select(df.columns).write.parquet(staging)
-        fresh = self.spark.read.schema(df.schema).parquet(staging)
-        self.append(fresh)
-        fresh.select(F.col(product).cast("string").alias("product"), F.lit(batch).cast("long").alias("batch")).distinct().write.mode("append").parquet(self.ledger_path)
+        held = used.where("product is not null").select(F.col("product").alias("_product"))
+        fresh = df.select(self.schema.names).join(held, F.col(product).cast("string") == F.col("_product"), "left_anti")
+        path = f"{self.batch_path}/_batch={batch}"
+        fresh.repartition(*self.partition).write.mode("overwrite").partitionBy(*self.partition).parquet(path)
+        names = self._stored(path).select(F.col(product).cast("string").alias("product"))
+        self._commit(names.unionByName(names.sparkSession.sql("SELECT CAST(null AS STRING) AS product")).distinct(), batch)
         return self
 
+    def _commit(self, names: DataFrame, batch: int) -> None:
+        names.write.mode("overwrite").parquet(f"{self.ledger_path}/batch={batch}")
+
     def committed(self, product: str) -> DataFrame:
         """Rows of products in the ledger only."""
-        return self.read().join(self.used().select(F.col("product").alias(product)).distinct(), product, "left_semi").select(self.schema.names)
+        batches = self.batches()
+        return self.read().limit(0) if batches is None else batches.where(F.col(product).isNotNull())
 
 
 def export_csv(df: DataFrame, path: str, partition: list[str], compression: str = "none") -> str:
