@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import FloatType
 
 # Platform codes and names, and the keyword classes of ocean platforms.
 PLATFORMS = {"M01": "Metop-B", "M02": "Metop-A", "M03": "Metop-C"}
@@ -32,17 +30,28 @@ def scaled(value: Column, gain: float, offset: float = 0.0) -> Column:
     return value * gain + offset
 
 
-@F.pandas_udf(FloatType())
-def to_half(values: pd.Series) -> pd.Series:
-    """Values rounded to half precision and held as FLOAT; over 65504 they become infinite."""
-    with np.errstate(over="ignore"):
-        return values.astype(np.float16).astype(np.float32)
+def _exponent(size: Column) -> Column:
+    """Exponent of the power of two at or below a positive finite number; the logarithm may be off by rounding at powers."""
+    near = F.floor(F.log2(size)).cast("double")
+    return F.when(F.pow(F.lit(2.0), near) > size, near - 1).when(F.pow(F.lit(2.0), near + 1) <= size, near + 1).otherwise(near)
+
+
+def _rounded(value: Column, bits: int, least: int) -> Column:
+    """value to a multiple of its power of two over 2^bits, of 2^least at least, ties to even; zero, infinity and NaN as they are."""
+    size = F.abs(value)
+    step = F.pow(F.lit(2.0), F.greatest(_exponent(size) - bits, F.lit(float(least))))
+    return F.when((value == 0) | F.isnan(value) | (size == float("inf")), value).otherwise(F.rint(value / step) * step)
+
+
+def to_half(value: Column) -> Column:
+    """Values rounded to half precision, ties to even, and held as FLOAT; from 65520 on they become infinite."""
+    value = value.cast("double")
+    return F.when((F.abs(value) >= 65520) & ~F.isnan(value), F.signum(value) * float("inf")).otherwise(_rounded(value, 10, -24)).cast("float")
 
 
 def bit_rounded(value: Column, bits: int = 9) -> Column:
     """Value with so many mantissa bits kept, ties to even: the step is the power of two below it over 2^bits."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(value))) - bits)
-    return F.when(value == 0, F.lit(0.0)).otherwise(F.rint(value / step) * step).cast("double")
+    return _rounded(value.cast("double"), bits, -1074)
 
 
 def regular_axis(least: float, most: float, step: float, falling: bool = False) -> Column:

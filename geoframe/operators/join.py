@@ -27,10 +27,13 @@ def families(surface: DataFrame, levels: DataFrame, keys: list[str], how: str =
     return surface.join(levels, keys, how)
 
 
-def by_derived_key(left: DataFrame, right: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Files of one instant, matched by the name without the part that tells products apart."""
-    key = lambda df: df.withColumn("instant", F.regexp_replace(path, pattern, ""))
-    return key(left).join(key(right).withColumnRenamed(path, f"other_{path}"), "instant")
+def by_derived_key(products: dict[str, DataFrame], path: str, pattern: str) -> DataFrame:
+    """Files of one instant, matched by the name without the part that tells products apart; instants that all products have.
+
+    Each product is a name and its files; its columns come as name_column, so that none clash.
+    """
+    keyed = [df.select(F.regexp_replace(path, pattern, "").alias("instant"), *(F.col(c).alias(f"{name}_{c}") for c in df.columns)) for name, df in products.items()]
+    return reduce(lambda a, b: a.join(b, "instant"), keyed)
 
 
 def navigated(cells: DataFrame, navigation: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,14 +45,16 @@ def nearest_in_hour(requests: DataFrame, scenes: DataFrame, keys: list[str], tim
     """For each request the scene nearest in time within the request's clock hour, the first path on ties; none if the hour is empty.
 
     Requests and scenes meet on their keys and hour, and one aggregation keeps the nearest: no window,
-    no range join, and an hour's scenes bound the work of a request.
+    no range join, and an hour's scenes bound the work of a request. Repeated requests are searched
+    once and answered as often as they come.
     """
-    asked = requests.withColumn("_hour", F.date_trunc("hour", time))
+    asked = requests.groupBy(*requests.columns).agg(F.count("*").cast("int").alias("_times")).withColumn("_hour", F.date_trunc("hour", time))
     have = scenes.select(*keys, F.date_trunc("hour", time).alias("_hour"), F.col(time).alias("scene_time"), *(c for c in scenes.columns if c not in (*keys, time)))
     rest = [c for c in have.columns if c not in (*keys, "_hour", path)]
     apart = F.abs(micros(F.col("scene_time")) - micros(F.col(time)))
-    best = asked.join(have, [*keys, "_hour"]).groupBy(*requests.columns).agg(F.min(F.struct(apart.alias("apart"), F.col(path), *rest)).alias("m"))
-    return best.select(*requests.columns, F.col(f"m.{path}").alias(path), *(F.col(f"m.{c}").alias(c) for c in rest), F.col("m.apart").alias("apart_us"))
+    best = asked.join(have, [*keys, "_hour"]).groupBy(*requests.columns, "_times").agg(F.min(F.struct(apart.alias("apart"), F.col(path), *rest)).alias("m"))
+    each = best.withColumn("_time", F.explode(F.array_repeat(F.lit(0), F.col("_times"))))
+    return each.select(*requests.columns, F.col(f"m.{path}").alias(path), *(F.col(f"m.{c}").alias(c) for c in rest), F.col("m.apart").alias("apart_us"))
 
 
 def exact_slot(requests: DataFrame, scenes: DataFrame, minutes: int = 10, time: str = "time") -> DataFrame:
@@ -59,8 +64,8 @@ def exact_slot(requests: DataFrame, scenes: DataFrame, minutes: int = 10, time:
 
 
 def routed(requests: DataFrame, routes: DataFrame, position: str, time: str = "time") -> DataFrame:
-    """requests with the satellite that served their position then; half-open ranges, a table of a few rows."""
-    r = F.broadcast(routes.select(F.col(position).alias("_position"), "satellite", F.col("start").alias("_start"), F.col("end").alias("_end")))
+    """requests with the satellite that served their position then; half-open ranges, which Spark broadcasts if the table is small."""
+    r = routes.select(F.col(position).alias("_position"), "satellite", F.col("start").alias("_start"), F.col("end").alias("_end"))
     inside = (F.col(position) == F.col("_position")) & (F.col("_start").isNull() | (F.col(time) >= F.col("_start"))) & (F.col("_end").isNull() | (F.col(time) < F.col("_end")))
     return requests.join(r, inside).drop("_position", "_start", "_end")
 

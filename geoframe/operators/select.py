@@ -7,13 +7,16 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Operating ranges, open ends null, and the east and west routing of the US imagers.
+# Operating ranges, open ends null, and the routing of the imagers; himawari8 serves both ends of its range, himawari9 all other times.
 OPERATING = [
     ("goes16", "2017-12-18", "2025-04-07"), ("goes17", "2019-02-12", "2023-01-04"), ("goes18", "2023-01-04", None), ("goes19", "2025-04-07", None),
     ("goes-east", "2017-12-18", None), ("goes-west", "2019-02-12", None), ("himawari8", "2015-07-07", "2022-12-13"), ("himawari9", "2022-11-04", None),
     ("gk2a", "2023-02-23", None), ("n21", "2023-02-27", None), ("n20", "2022-11-07", None), ("snpp", "2022-11-07", None),
 ]
-ROUTES = [("east", "goes16", None, "2025-04-07"), ("east", "goes19", "2025-04-07", None), ("west", "goes17", None, "2023-01-04"), ("west", "goes18", "2023-01-04", None)]
+ROUTES = [
+    ("east", "goes16", None, "2025-04-07"), ("east", "goes19", "2025-04-07", None), ("west", "goes17", None, "2023-01-04"), ("west", "goes18", "2023-01-04", None),
+    ("himawari", "himawari9", None, "2015-07-07"), ("himawari", "himawari8", "2015-07-07", "2022-12-13 00:00:00.000001"), ("himawari", "himawari9", "2022-12-13 00:00:00.000001", None),
+]
 RESOLUTION = {
     "goes": {"high": ("C02",), "medium": ("C01", "C03", "C05"), "low": ("C04", "C06", "C07", "C08", "C09", "C10", "C11", "C12", "C13", "C14", "C15", "C16")},
     "himawari": {"high": ("B03",), "medium": ("B01", "B02", "B04"), "low": ("B05", "B06", "B07", "B08", "B09", "B10", "B11", "B12", "B13", "B14", "B15", "B16")},
@@ -26,6 +29,12 @@ def operating_ranges(spark) -> DataFrame:
     return rows.select("satellite", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"))
 
 
+def routes(spark) -> DataFrame:
+    """(position, satellite, start, end) of ROUTES."""
+    rows = spark.createDataFrame(ROUTES, "position string, satellite string, start string, end string")
+    return rows.select("position", "satellite", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"))
+
+
 def since(df: DataFrame, time: str, start: str) -> DataFrame:
     """Rows from a time on; the bound is a literal, so it reaches the scan."""
     return df.where(F.col(time) >= F.lit(start).cast("timestamp_ntz"))
@@ -72,10 +81,10 @@ def variables_with_values(df: DataFrame, columns: list[str]) -> list[str]:
 def in_history(requests: DataFrame, ranges: DataFrame, satellite: str = "satellite", time: str = "time", strict: bool = False) -> DataFrame:
     """requests with a status: ok, unknown satellite, before start or after end; both ends of a range are allowed.
 
-    The range table has a row per satellite and is broadcast. With ``strict`` a status other than ok raises.
+    The range table has a row per satellite; Spark broadcasts it if it is small. With ``strict`` a status other than ok raises.
     """
     r = ranges.select(F.col("satellite").alias("_satellite"), "start", "end")
-    joined = requests.join(F.broadcast(r), F.col(satellite) == F.col("_satellite"), "left")
+    joined = requests.join(r, F.col(satellite) == F.col("_satellite"), "left")
     status = F.when(F.col("_satellite").isNull(), "unknown satellite").when(F.col(time) < F.col("start"), "before start").when(F.col("end").isNotNull() & (F.col(time) > F.col("end")), "after end").otherwise("ok")
     out = joined.withColumn("status", status).drop("_satellite", "start", "end")
     return out.where(F.when(F.col("status") == "ok", F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("invalid request: "), F.col("status"))).cast("boolean"))) if strict else out

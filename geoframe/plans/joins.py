@@ -8,6 +8,7 @@ from geoframe.catalog import query, table
 from geoframe.functions import times as T
 from geoframe.operators import join as J
 from geoframe.operators import shape as H
+from geoframe.operators.select import routes
 from geoframe.sources.lookup import SceneSource
 
 HOURLY = "(SELECT unnest(generate_series(date_trunc('hour', (SELECT min(ts) FROM events)), (SELECT max(ts) FROM events), INTERVAL 1 HOUR)) + to_minutes(30) AS time)"
@@ -28,7 +29,7 @@ def hourly_requests(spark, sf_dir):
 
 
 def scenes(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), F.col("ts").alias("time"), F.col("event_id").alias("path"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), F.col("ts").alias("time"), F.col("event_id").alias("path"), "value")
 
 
 @query("JON1_merge_variables", "SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, " + ", ".join(f"max(value) FILTER (event_type = '{v}') AS {v}" for v in ("click", "purchase", "view")) + " FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1, 2")
@@ -51,13 +52,15 @@ def jon3(spark, sf_dir):
     return J.families(surface, levels, ["run"], "inner").select("run", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "surface", T.step_seconds(F.col("l_shipdate"), F.col("init_time")).alias("step_s"))
 
 
-@query("JON4_match_by_name", "SELECT 'ACRR_' || a.event_id || '.h5' AS instant, a.value AS rate, b.value AS day_sum FROM events a JOIN events b ON a.event_id = b.event_id WHERE a.event_id % 2 = 0 AND b.event_id % 3 = 0")
+@query("JON4_match_by_name", "SELECT 'ACRR_' || a.event_id || '.h5' AS instant, a.value AS rate, b.value AS day_sum, c.value AS half_day_sum FROM events a JOIN events b ON a.event_id = b.event_id JOIN events c ON a.event_id = c.event_id WHERE a.event_id % 2 = 0 AND b.event_id % 3 = 0 AND c.event_id % 5 <> 0")
 def jon4(spark, sf_dir):
-    def product(hours, modulus, name):
+    def product(hours, present):
         path = F.concat(F.lit(f"ACRR{hours}H_"), F.col("event_id").cast("string"), F.lit(".h5"))
-        return table(spark, sf_dir, "events").where(F.col("event_id") % modulus == 0).select(path.alias("path"), F.col("value").alias(name))
+        return table(spark, sf_dir, "events").where(present).select(path.alias("path"), "value")
 
-    return J.by_derived_key(product(1, 2, "rate"), product(24, 3, "day_sum"), "path", r"(?<=ACRR)\d+H").select("instant", "rate", "day_sum")
+    products = {"hour": product(1, "event_id % 2 = 0"), "day": product(24, "event_id % 3 = 0"), "half_day": product(12, "event_id % 5 <> 0")}
+    met = J.by_derived_key(products, "path", r"(?<=ACRR)\d+H")
+    return met.select("instant", F.col("hour_value").alias("rate"), F.col("day_value").alias("day_sum"), F.col("half_day_value").alias("half_day_sum"))
 
 
 @query("JON5_navigation", "SELECT c_custkey, n_nationkey * 2.5 AS latitude, n_regionkey * 10.0 AS longitude FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -71,13 +74,17 @@ def jon6(spark, sf_dir):
     return J.nearest_in_hour(hourly_requests(spark, sf_dir), scenes(spark, sf_dir), ["channel"]).select("time", "channel", "path", "apart_us")
 
 
-@query("JON7_route_to_satellite", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN t < TIMESTAMP '2025-04-07' THEN 'goes16' ELSE 'goes19' END ELSE CASE WHEN t < TIMESTAMP '2023-01-04' THEN 'goes17' ELSE 'goes18' END END AS satellite FROM (SELECT o_orderkey, o_orderdate + to_days(9200) AS t FROM orders)")
+@query("JON7_route_to_satellite", """
+SELECT o_orderkey, CASE o_orderkey % 3
+  WHEN 0 THEN CASE WHEN t < TIMESTAMP '2025-04-07' THEN 'goes16' ELSE 'goes19' END
+  WHEN 1 THEN CASE WHEN t < TIMESTAMP '2023-01-04' THEN 'goes17' ELSE 'goes18' END
+  ELSE CASE WHEN t BETWEEN TIMESTAMP '2015-07-07' AND TIMESTAMP '2022-12-13' THEN 'himawari8' ELSE 'himawari9' END END AS satellite
+FROM (SELECT o_orderkey, o_orderdate + to_days(9200) AS t FROM orders)
+""")
 def jon7(spark, sf_dir):
-    from geoframe.operators.select import ROUTES
-
-    routes = spark.createDataFrame(ROUTES, "position string, satellite string, start string, end string").select("position", "satellite", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"))
-    given = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "east").otherwise("west").alias("position"), (F.col("o_orderdate") + F.expr("INTERVAL 9200 DAYS")).alias("time"))
-    return J.routed(given, routes, "position").select("o_orderkey", "satellite")
+    position = F.element_at(F.array(F.lit("east"), F.lit("west"), F.lit("himawari")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    given = table(spark, sf_dir, "orders").select("o_orderkey", position.alias("position"), (F.col("o_orderdate") + F.expr("INTERVAL 9200 DAYS")).alias("time"))
+    return J.routed(given, routes(spark), "position").select("o_orderkey", "satellite")
 
 
 @query("JON8_present_times_removed", "SELECT event_id, ts FROM events WHERE ts NOT IN (SELECT ts FROM events WHERE event_id % 4 = 0)")
@@ -127,10 +134,10 @@ def jon14(spark, sf_dir):
     return J.mosaic([placed], ["vec_id"]).select("y", "x", "value", "vec_id")
 
 
-@query("JON15_exact_slot", "SELECT r.o_orderkey, e.event_id AS path FROM (SELECT o_orderkey, (SELECT min(ts) FROM events) + to_minutes(CAST(10 * o_orderkey AS INT)) AS t FROM orders WHERE o_orderkey < 4000) r JOIN events e ON epoch_us(e.ts) // 600000000 = epoch_us(r.t) // 600000000")
+@query("JON15_exact_slot", "SELECT r.o_orderkey, e.event_id AS path FROM (SELECT o_orderkey, (SELECT min(ts) FROM events) + to_minutes(CAST(10 * o_orderkey AS INT)) AS t FROM orders) r JOIN events e ON epoch_us(e.ts) // 600000000 = epoch_us(r.t) // 600000000")
 def jon15(spark, sf_dir):
     first = table(spark, sf_dir, "events").agg(F.min("ts").alias("first"))
-    asked = table(spark, sf_dir, "orders").where("o_orderkey < 4000").join(F.broadcast(first)).select("o_orderkey", (F.col("first") + F.make_dt_interval(F.lit(0), F.lit(0), (10 * F.col("o_orderkey")).cast("int"))).alias("time"))
+    asked = table(spark, sf_dir, "orders").join(F.broadcast(first)).select("o_orderkey", (F.col("first") + F.make_dt_interval(F.lit(0), F.lit(0), (10 * F.col("o_orderkey")).cast("int"))).alias("time"))
     return J.exact_slot(asked, scenes(spark, sf_dir)).select("o_orderkey", "path")
 
 
@@ -143,6 +150,5 @@ def jon17(spark, sf_dir):
 
 @query("UDF3_scene_source", NEAREST.replace("SELECT r.time", "SELECT r.time", 1).replace("abs(epoch_us(e.ts) - epoch_us(r.time)) AS apart_us", "e.value, e.ts AS scene_time").replace("JOIN events e ON", "JOIN events e ON r.channel IN ('click', 'view') AND r.time >= TIMESTAMP '2024-01-10' AND r.time <= TIMESTAMP '2024-01-20' AND"))
 def udf3(spark, sf_dir):
-    have = scenes(spark, sf_dir).join(table(spark, sf_dir, "events").select(F.col("event_id").alias("path"), "value"), "path")
-    source = SceneSource(have, channels=("click", "error", "purchase", "signup", "view"), start="2024-01-10 00:00:00", end="2024-01-20 00:00:00")
+    source = SceneSource(scenes(spark, sf_dir), channels=("click", "error", "purchase", "signup", "view"), start="2024-01-10 00:00:00", end="2024-01-20 00:00:00")
     return source(hourly_requests(spark, sf_dir).select("time").distinct(), ["click", "view"]).select("time", "channel", "path", "value", "scene_time")

@@ -72,9 +72,9 @@ def pip13(spark, sf_dir):
     return new.withColumn("platform", V.platform_name(F.col("product"))).where("platform is not null").groupBy("platform").agg(F.count("*").alias("n"), F.min("ts").alias("first"))
 
 
-@query("PIP14_radiosondes", "SELECT b AS block, count(*) AS n, count(temperature) AS filled FROM (SELECT k.user_id // 50 AS b, d.temperature FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0) k CROSS JOIN (SELECT DISTINCT date_trunc('day', ts)::TIMESTAMP AS time FROM events WHERE user_id % 3 = 0) t LEFT JOIN (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS time, min(value) AS temperature FROM events WHERE user_id % 3 = 0 GROUP BY 1, 2) d ON d.user_id = k.user_id AND d.time = t.time) GROUP BY 1")
+@query("PIP14_radiosondes", "SELECT b AS block, count(*) AS n, count(temperature) AS filled FROM (SELECT k.user_id // 50 AS b, d.temperature FROM (SELECT DISTINCT user_id FROM events) k CROSS JOIN (SELECT DISTINCT date_trunc('day', ts)::TIMESTAMP AS time FROM events) t LEFT JOIN (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS time, min(value) AS temperature FROM events GROUP BY 1, 2) d ON d.user_id = k.user_id AND d.time = t.time) GROUP BY 1")
 def pip14(spark, sf_dir):
-    soundings = table(spark, sf_dir, "events").where("user_id % 3 = 0").select("user_id", T.ntz(F.date_trunc("day", "ts")).alias("time"), "value")
+    soundings = table(spark, sf_dir, "events").select("user_id", T.ntz(F.date_trunc("day", "ts")).alias("time"), "value")
     renamed = S.renamed(C.first_rows(soundings, ["user_id", "time"], ["value"]), {"value": "temperature"})
     matrix = J.aligned(renamed, "user_id", "time", ["temperature"])
     return matrix.groupBy(F.floor(F.col("user_id") / 50).cast("long").alias("block")).agg(F.count("*").alias("n"), F.count("temperature").alias("filled"))

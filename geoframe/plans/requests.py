@@ -8,11 +8,11 @@ from geoframe.catalog import query, table
 from geoframe.functions import times as T
 from geoframe.sources import requests as R
 
-DAYS = "(SELECT DISTINCT o_orderdate AS init_time FROM orders WHERE year(o_orderdate) = 1997)"
+DAYS = "(SELECT DISTINCT o_orderdate AS init_time FROM orders)"
 
 
 def runs(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1997).select(F.col("o_orderdate").alias("init_time")).distinct()
+    return table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("init_time")).distinct()
 
 
 @query("GEN3_hourly_forecast_files", f"SELECT init_time, CAST(s AS INT) AS step, 'dust_' || strftime(init_time, '%Y%m%d') || '00_' || lpad(CAST(s AS VARCHAR), 3, '0') || '.nc4' AS url FROM {DAYS}, range(1, 121) t(s)")

@@ -132,14 +132,17 @@ def fn20(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(V.scaled(masked, 0.01, 273.15), 6).alias("value"))
 
 
-@query("FN21_narrow_to_half")
+_STEP = "pow(2, greatest(floor(log2({0})) - 10, -24))"
+
+
+@query("FN21_narrow_to_half", f"SELECT l_orderkey, l_linenumber, l_partkey, (CASE WHEN l_extendedprice >= 65520 THEN 'Infinity'::DOUBLE WHEN l_extendedprice = 0 THEN 0 ELSE round_even(l_extendedprice / {_STEP.format('l_extendedprice')}, 0) * {_STEP.format('l_extendedprice')} END)::FLOAT AS value, TRY_CAST(trunc(l_quantity) AS TINYINT) AS flag FROM lineitem")
 def fn21(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", V.to_half("l_extendedprice").alias("value"), F.col("l_quantity").try_cast("tinyint").alias("flag"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", V.to_half(F.col("l_extendedprice")).alias("value"), F.col("l_quantity").try_cast("tinyint").alias("flag"))
 
 
-@query("FN22_bit_rounding", "SELECT l_orderkey, l_linenumber, l_partkey, round_even(l_extendedprice / pow(2, floor(log2(l_extendedprice)) - 9), 0) * pow(2, floor(log2(l_extendedprice)) - 9) AS value FROM lineitem WHERE l_extendedprice > 0")
+@query("FN22_bit_rounding", "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v = 0 THEN 0 ELSE round_even(v / pow(2, floor(log2(abs(v))) - 9), 0) * pow(2, floor(log2(abs(v))) - 9) END AS value FROM (SELECT *, l_extendedprice - 30000 AS v FROM lineitem)")
 def fn22(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").where("l_extendedprice > 0").select("l_orderkey", "l_linenumber", "l_partkey", V.bit_rounded(F.col("l_extendedprice")).alias("value"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", V.bit_rounded(F.col("l_extendedprice") - 30000).alias("value"))
 
 
 @query("FN23_radians_and_heights", "SELECT c_custkey, round(degrees(c_acctbal / 10000), 6) AS latitude, round(c_acctbal + 6378137.0 - 6378137.0, 3) AS height FROM customer")

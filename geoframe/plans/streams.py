@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoframe.catalog import query, table
+from geoframe.plans.stores import interrupted
 from geoframe.sources.store import Store, scratch
 from geoframe.streaming import jobs as J
 
@@ -65,8 +66,11 @@ def str6(spark, sf_dir):
 
 @query("STR7_complete_runs", "SELECT l_orderkey, count(DISTINCT l_linenumber)::BIGINT AS steps FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linenumber) >= 4")
 def str7(spark, sf_dir):
-    stream = J.read_files(spark, f"{sf_dir}/lineitem.parquet", LINES, "l_shipdate").select("l_orderkey", "l_linenumber")
-    return through_files(spark, J.complete_runs(stream, "l_orderkey", "l_linenumber", 4))
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp").alias("init_time"))
+    stream = J.read_files(spark, f"{sf_dir}/lineitem.parquet", LINES, "l_shipdate").select("l_orderkey", "l_linenumber").join(runs, "l_orderkey")
+    path = scratch(spark, "runs")
+    J.complete_runs(stream, "l_orderkey", "l_linenumber", 4, "init_time", "4000 days", path, scratch(spark, "progress"))
+    return spark.read.schema("l_orderkey long, steps long").parquet(path).select("l_orderkey", "steps")
 
 
 @query("STR8_backfill_and_live", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
@@ -86,6 +90,7 @@ def str9(spark, sf_dir):
     sink = J.ledger_sink(store, "event_type")
 
     def twice(batch, number):
+        interrupted(store, batch, "event_type", number)
         sink(batch, number)
         sink(batch, number)
 

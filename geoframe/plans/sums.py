@@ -20,9 +20,9 @@ def agg2(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.min_by("event_id", "ts").alias("first_id"), F.max_by("event_id", "ts").alias("last_id"))
 
 
-@query("AGG3_run_report", "SELECT regexp_extract(url, '://([^/]+)', 1) AS run, coalesce(sum(length(html)) FILTER (page_id % 5 <> 0), 0)::BIGINT AS bytes, count(*) FILTER (page_id % 5 <> 0) AS succeeded, count(*) FILTER (page_id % 5 = 0) AS failed FROM pages GROUP BY 1")
+@query("AGG3_run_report", "SELECT regexp_extract(url, '://([^/]+)', 1) AS run, coalesce(sum(strlen(html)) FILTER (page_id % 5 <> 0), 0)::BIGINT AS bytes, count(*) FILTER (page_id % 5 <> 0) AS succeeded, count(*) FILTER (page_id % 5 = 0) AS failed FROM pages GROUP BY 1")
 def agg3(spark, sf_dir):
-    given = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "://([^/]+)", 1).alias("run"), F.char_length("html").cast("long").alias("size"), (F.col("page_id") % 5 != 0).alias("ok"))
+    given = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "://([^/]+)", 1).alias("run"), F.octet_length("html").cast("long").alias("size"), (F.col("page_id") % 5 != 0).alias("ok"))
     return C.run_report(given, ["run"], "size", "ok")
 
 

@@ -6,20 +6,21 @@ Event times are TIMESTAMP, as watermarks need; the session's time zone should be
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from geoframe.sources.store import Store
 
 
 def read_files(spark: SparkSession, path: str, schema: str, time: str, files_per_batch: int = 64) -> DataFrame:
-    """A stream of Parquet files, its time column as TIMESTAMP. path may be a folder or a single file: as a pattern it is either."""
-    pattern = f"{path[:-1]}[{path[-1]}]"
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
+    """A stream of Parquet files, its time column as TIMESTAMP. path may be a folder or a single file.
+
+    Spark refuses a single file, but takes a pattern that matches it: the name's first letter as a class.
+    """
+    head, _, name = path.rstrip("/").rpartition("/")
+    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{head}/[{name[0]}]{name[1:]}")
     return df.withColumn(time, F.col(time).cast("timestamp"))
 
 
@@ -61,18 +62,21 @@ def ledger_sink(store: Store, product: str, offset: int = 0) -> Callable[[DataFr
     return lambda batch, number: store.append_products(batch.select(store.schema.names), product, number + offset) and None
 
 
-def complete_runs(stream: DataFrame, run: str, step: str, expected: int) -> DataFrame:
-    """(run, steps) of each run, once, in the batch in which its last step arrives. State is a set of at most ``expected`` steps a run."""
+def complete_runs(stream: DataFrame, run: str, step: str, expected: int, time: str, delay: str, path: str, checkpoint: str) -> None:
+    """Writes (run, steps) of each run, once, in the batch in which its last step arrives.
+
+    State is the set of steps of each run and time of its start, until the watermark has passed that
+    time by ``delay``; Spark keeps it, no Python runs. A batch gives out all runs that it has changed, of
+    which those are new that no batch before has written. A retried batch overwrites its own folder.
+    """
+    changed = stream.withWatermark(time, delay).groupBy(time, run).agg(F.size(F.collect_set(step)).cast("long").alias("steps"))
+    schema = f"{run} {stream.schema[run].dataType.simpleString()}, steps long"
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, told = state.get if state.exists else ([], False)
-        steps = set(seen)
-        for batch in batches:
-            steps.update(int(x) for x in batch[step])
-        now = not told and len(steps) >= expected
-        state.update((sorted(steps), told or now))
-        if now:
-            yield pd.DataFrame({run: [key[0]], "steps": [len(steps)]})
+    def write(batch: DataFrame, number: int) -> None:
+        full, spark = batch.where(F.col("steps") >= expected).select(run, "steps"), batch.sparkSession
+        if number:
+            told = spark.read.schema(f"{schema}, batch long").parquet(path).where(F.col("batch") < number).select(run)
+            full = full.join(told, run, "left_anti")
+        full.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    kind = stream.schema[run].dataType.simpleString()
-    return stream.select(run, step).groupBy(run).applyInPandasWithState(update, f"{run} {kind}, steps long", "steps array<long>, told boolean", "append", GroupStateTimeout.NoTimeout)
+    changed.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
