@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from geoframe.llm.common import table
 
 PART = "struct<type:string,text:string,uri:string,width:long,height:long,seconds:double,pages:long>"
-_TURN = re.compile(r"<turn:((?:[^\\>]+|\\.)*)>((?:[^\\<]+|\\.|<(?!/turn>))*)</turn>\n", re.S)
-_HOLDER = re.compile(r"(?:[^\\<]+|\\.)+|<(image|audio|document):(\d+)>", re.S)
+# Possessive, so that damaged texts take no longer than whole ones.
+_TURN = re.compile(r"<turn:((?:[^\\>]++|\\.)*+)>((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.S)
+_HOLDER = re.compile(r"(?:[^\\<]++|\\.)++|<(image|audio|document):(\d+)>", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
