@@ -331,8 +331,11 @@ def main_text(source: str) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """pages with its columns but ``html_col``, and text string and n_chars long. Null html is empty; rows and other columns stay as they are."""
-    others = [c for c in pages.columns if c != html_col]
+    """pages with its columns but ``html_col``, and text string and n_chars long, which replace columns of these names.
+
+    Null html is empty; rows and other columns stay as they are.
+    """
+    others = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     names = [f"given_{k}" for k in range(len(others))]
     given = pages.select(*(F.col(c).alias(n) for c, n in zip(others, names)), F.col(html_col).alias("html"))
 

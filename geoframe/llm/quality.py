@@ -110,7 +110,7 @@ def measure(text: Column) -> Column:
 
 
 def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with a struct column ``quality`` of counts, base_failed, kept and ratios; rows and columns stay as they are."""
+    """docs with a struct column ``quality`` of counts, base_failed, kept and ratios, which replaces a column of that name; the rest stays."""
     return docs.withColumn("quality", measure(F.col(text_col)))
 
 

@@ -331,12 +331,15 @@ def kept_bytes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
 
 
 def _digest(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
-    return len(text), int((ends - starts).sum()), len(starts), hashlib.sha256(kept_bytes(text, starts, ends)).hexdigest()
+    kept = kept_bytes(text, starts, ends)
+    return len(text), int((ends - starts).sum()), len(starts), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")
 
 
 def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests, and as text what is left, without the parts of characters at its cuts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return strip(docs, 400, False, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", _digest).drop("text")
+    found = strip(docs, 400, False, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string", _digest)
+    return found.drop("text").withColumnRenamed("kept", "text")
 
 
 def _whole_characters(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[str]:
@@ -354,10 +357,12 @@ def _whole_characters(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tupl
 def without_repeats(docs: DataFrame, length: int) -> DataFrame:
     """docs with later copies of strings of ``length`` or more bytes removed from text, the first kept; n_chars, if there, follows.
 
-    Columns and rows stay as given; a text of which nothing is left becomes empty.
+    Columns and rows stay as given, whatever their names; a text of which nothing is left becomes
+    empty, null stays null, and shorter texts stay whole. An empty table gives no rows.
     """
-    done = strip(docs, length, True, "kept_text string", _whole_characters)
-    renew = {"text": F.when(F.col("text").isNotNull(), F.col("kept_text"))}
+    kept = next(c for k in range(len(docs.columns) + 1) if (c := f"kept_{k}") not in docs.columns)
+    done = strip(docs, length, True, f"{kept} string", _whole_characters)
+    renew = {"text": F.when(F.col("text").isNotNull(), F.col(kept))}
     if "n_chars" in docs.columns:
-        renew["n_chars"] = F.when(F.col("text").isNull() | (F.col("text") == F.col("kept_text")), F.col("n_chars")).otherwise(F.char_length("kept_text").cast(docs.schema["n_chars"].dataType))
+        renew["n_chars"] = F.when(F.col("text").isNull() | (F.col("text") == F.col(kept)), F.col("n_chars")).otherwise(F.char_length(kept).cast(docs.schema["n_chars"].dataType))
     return done.withColumns(renew).select(docs.columns)
