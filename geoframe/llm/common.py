@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset, on one machine only, a new temporary one."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="spark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
@@ -41,6 +44,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most so many short rows is broadcast, of more it is joined by a shuffle.
+BROADCAST = 1 << 18
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
+    """df, given as a checkpoint, with a broadcast hint if it has few rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text, empty for null, without building Python strings."""
     if isinstance(column, pa.ChunkedArray):

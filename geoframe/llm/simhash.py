@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import components, cut, table, text_bytes
+from geoframe.llm.common import bounded, components, cut, table, text_bytes
 
 SEED = 42
 #: A bucket with more fingerprints than this is searched by shared centres instead of by pairs; both ways are exact.
@@ -122,13 +122,6 @@ SPARE = 0.1
 FEW = 16
 #: A block has at most about so many shingles and so many texts.
 BLOCK, MEMBERS = 1 << 17, 1 << 10
-#: A list of at most so many longs is broadcast, of more it is joined by a shuffle.
-BROADCAST = 1 << 18
-
-
-def _bounded(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
-    """df, given as a checkpoint, with a broadcast hint if it has few rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def _overlap(n: int, similarity: float) -> int:
@@ -318,7 +311,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     others = cut(each.join(first, "digest").where("doc_id > least").select("doc_id", "digest"))
     if each.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1").isEmpty():
         first = cut(first.withColumn("node", F.col("least")))
-        texts = rows.join(_bounded(others.select("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("node"), "text")
+        texts = rows.join(bounded(others.select("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("node"), "text")
     else:  # ids repeat: a number for each text, which no id may have
         first = cut(first.withColumn("node", F.xxhash64("digest", "least")))
         texts = rows.join(first.select("digest", "node", F.col("least").alias("doc_id")), ["digest", "doc_id"]).select("node", "text").dropDuplicates(["node"])
@@ -328,7 +321,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     twice = cut(prefix.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle"))
     shares = prefix.join(twice, "shingle").groupBy("node").agg(F.count("*").alias("n"))
     rich = cut(sketch.select("node", "fp", "need").join(shares, "node").where("n >= need").select("node", "fp"))
-    sets = cut(rarest(cut(shingle_sets(texts.join(_bounded(rich), "node"), shingle)), similarity))
+    sets = cut(rarest(cut(shingle_sets(texts.join(bounded(rich), "node"), shingle)), similarity))
 
     prints = cut(sets.groupBy("fp").agg(F.min("node").alias("node")))
     same = sets.join(prints.withColumnRenamed("node", "least"), "fp").where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
@@ -355,7 +348,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
     stays = found.groupBy("text_group").agg(F.min(F.struct("doc_id", "digest")).alias("stays"))
     gone = cut(found.join(stays, "text_group").where(F.struct("doc_id", "digest") != F.col("stays")).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")))
     id_, digest = docs["doc_id"].cast("long"), F.unhex(F.sha2(docs["text"], 256))
-    held = docs.join(_bounded(gone), (id_ == F.col("gone_id")) & (digest == F.col("gone_digest")), "left_anti")
+    held = docs.join(bounded(gone), (id_ == F.col("gone_id")) & (digest == F.col("gone_digest")), "left_anti")
     key = [F.col("doc_id").cast("long").alias("twice_id"), F.unhex(F.sha2("text", 256)).alias("twice_digest")]
     twice = cut(held.where("doc_id is not null and text is not null").select(*key).groupBy("twice_id", "twice_digest").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     if twice.isEmpty():

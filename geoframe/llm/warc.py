@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import stored, table, text_bytes
+from geoframe.llm.common import bounded, cut, stored, table, text_bytes
 
 #: Payloads of at least so many bytes are stored once; later ones are revisits.
 LEAST_SHARED = 100
@@ -80,13 +80,16 @@ def read_frame(bundle: bytes, frame: tuple[int, int]) -> bytes:
 def mark_revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     """(page_id, url, html, refers_to): of equal payloads of ``least`` bytes the smallest page_id is the response, others refer to it.
 
-    Only digests are grouped and joined. Null html is empty; a page without id is a response of its
-    own; of repeated rows with one id none refers to another.
+    Only ids and digests are grouped and joined, by digest; what they tell comes back to the payloads by
+    id, without a shuffle of these if there are few revisits. Null html is empty; a page without id is a
+    response of its own; of repeated rows with one id none refers to another.
     """
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     digest = given.withColumn("digest", F.unhex(F.sha2("html", 256)))
-    first = digest.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return digest.join(first, "digest", "left").select("page_id", "url", "html", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to"))
+    ids = digest.where((F.octet_length("html") >= least) & F.col("page_id").isNotNull()).select("page_id", "digest")
+    first = cut(ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    revisits = cut(ids.join(bounded(first), "digest").where("page_id <> refers_to").distinct())
+    return digest.join(bounded(revisits), ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
 
 
 def write_bundles(marked: DataFrame, frame_bytes: int = FRAME, bundle_bytes: int = BUNDLE) -> DataFrame:
