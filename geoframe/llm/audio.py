@@ -22,6 +22,8 @@ FRAME, HOP, FFT, MELS = 200, 80, 256, 24
 #: A patch is so many frames by MELS bands; the last one of a clip is padded with the floor.
 PATCH = 16
 FLOOR = 1e-6
+#: Samples that are worked off at once.
+SLICE = 1 << 18
 #: Decibels over the clip's median at which a segment begins, and under which it ends.
 BEGIN_DB, END_DB = 1.5, 0.5
 ALIGN = 64
@@ -70,24 +72,31 @@ def _phases(up: int, down: int) -> np.ndarray:
 
 
 def resample(x: np.ndarray, rate: int, target: int) -> np.ndarray:
-    """Polyphase resampling by a rational factor: each output sample is a dot product with the taps of its own phase only."""
+    """Polyphase resampling by a rational factor: each output sample is a dot product with the taps of its own phase only.
+
+    x are float samples, or unsigned 8-bit ones, which are brought to -1..1. Long clips are worked off in slices.
+    """
+    level = (lambda y: (y.astype(np.float32) - 128) / 128) if x.dtype == np.uint8 else (lambda y: y.astype(np.float32))
     g = gcd(rate, target)
     up, down = target // g, rate // g
     if up == down or not len(x):
-        return x.astype(np.float32)
+        return level(x)
     table = _phases(up, down)
     per = table.shape[1]
     delay = 8 * max(up, down)
     n = -(-len(x) * up // down)
-    place = np.arange(n) * down + delay
-    newest, phase = place // up, place % up
-    held = np.zeros(per - 1 + max(len(x), int(newest[-1]) + 1), np.float32)
-    held[per - 1 : per - 1 + len(x)] = x
-    windows = np.lib.stride_tricks.sliding_window_view(held, per)
     out = np.empty(n, np.float32)
-    for p in range(up):
-        own = phase == p
-        out[own] = windows[newest[own]] @ table[p]
+    for begin in range(0, n, SLICE):
+        place = np.arange(begin, min(n, begin + SLICE)) * down + delay
+        newest, phase = place // up, place % up
+        first = int(newest[0]) - per + 1
+        held = np.zeros(int(newest[-1]) + 1 - first, np.float32)
+        part = level(x[max(0, first) : int(newest[-1]) + 1])
+        held[max(0, -first) : max(0, -first) + len(part)] = part
+        windows = np.lib.stride_tricks.sliding_window_view(held, per)
+        for p in range(up):
+            own = np.flatnonzero(phase == p)
+            out[begin + own] = windows[newest[own] - per + 1 - first] @ table[p]
     return out
 
 
@@ -103,22 +112,31 @@ def _mel(rate: int) -> np.ndarray:
 
 
 class Features(NamedTuple):
-    patches: np.ndarray  # (patches, PATCH, MELS) float32
+    patches: np.ndarray  # (patches, PATCH, MELS) float16
     spans: np.ndarray  # (patches, 2) seconds
     segments: np.ndarray  # (segments, 2) seconds
 
 
 def features(media: bytes, target: int = TARGET) -> Features:
-    """Log-mel patches of the resampled clip and its energetic segments. A clip shorter than a frame is padded to one."""
+    """Log-mel patches of the resampled clip and its energetic segments. A clip shorter than a frame is padded to one.
+
+    Memory is about ten bytes a sample, however long the clip.
+    """
     rate, payload = from_wav(media)
-    x = resample((np.frombuffer(payload, np.uint8).astype(np.float32) - 128) / 128, rate, target)
+    x = resample(np.frombuffer(payload, np.uint8), rate, target)
     n = 1 + max(0, -(-(len(x) - FRAME) // HOP))
     held = np.zeros((n - 1) * HOP + FRAME, np.float32)
     held[: min(len(x), len(held))] = x[: len(held)]
-    frames = np.lib.stride_tricks.sliding_window_view(held, FRAME)[::HOP] * np.hanning(FRAME + 2)[1:-1].astype(np.float32)
-    power = np.abs(np.fft.rfft(frames, FFT)).astype(np.float32) ** 2
-    mel = np.log(power @ _mel(target) + FLOOR)
-    energy = 10 * np.log10(np.square(frames).mean(1) + FLOOR)
+    window = np.hanning(FRAME + 2)[1:-1].astype(np.float32)
+    count = -(-n // PATCH)
+    mel = np.full((count * PATCH, MELS), np.log(FLOOR), np.float16)
+    energy = np.empty(n, np.float32)
+    for begin in range(0, n, SLICE // HOP):
+        end = min(n, begin + SLICE // HOP)
+        frames = np.lib.stride_tricks.sliding_window_view(held[begin * HOP : (end - 1) * HOP + FRAME], FRAME)[::HOP] * window
+        power = np.abs(np.fft.rfft(frames, FFT)).astype(np.float32) ** 2
+        mel[begin:end] = np.log(power @ _mel(target) + FLOOR)
+        energy[begin:end] = 10 * np.log10(np.square(frames).mean(1) + FLOOR)
     energy -= np.median(energy)
     # a segment is a run of frames over the lower threshold that reaches the upper one
     weak = np.concatenate(([0], energy >= END_DB, [0])).astype(np.int8)
@@ -126,12 +144,9 @@ def features(media: bytes, target: int = TARGET) -> Features:
     strong = np.concatenate(([0], np.cumsum(energy >= BEGIN_DB)))
     loud = strong[end] > strong[begin]
     segments = np.stack((begin[loud] * HOP, (end[loud] - 1) * HOP + FRAME), 1) / target
-    count = -(-n // PATCH)
-    patches = np.full((count * PATCH, MELS), np.log(FLOOR), np.float32)
-    patches[:n] = mel
     first = np.arange(count) * PATCH
     spans = np.stack((first * HOP, (np.minimum(first + PATCH, n) - 1) * HOP + FRAME), 1) / target
-    return Features(patches.reshape(count, PATCH, MELS), spans, segments)
+    return Features(mel.reshape(count, PATCH, MELS), spans, segments)
 
 
 def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,7 +177,7 @@ def audio_patches(media: DataFrame, target: int = TARGET) -> DataFrame:
                 if data.is_valid:
                     got = features(data.as_py(), target)
                     n = len(got.patches)
-                    tensor = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * PATCH * MELS, pa.int32()), pa.array(got.patches.ravel()))
+                    tensor = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * PATCH * MELS, pa.int32()), pa.array(got.patches.ravel().astype(np.float32)))
                     yield pa.record_batch([pa.array([doc] * n, pa.int64()), pa.array(np.arange(n)), pa.array(got.spans[:, 0]), pa.array(got.spans[:, 1]), tensor], ["doc_id", "patch", "start_s", "end_s", "logmel"])
 
     return media.select("doc_id", "media").mapInArrow(run, "doc_id long, patch long, start_s double, end_s double, logmel array<float>")
@@ -181,33 +196,70 @@ def audio_segments(media: DataFrame, target: int = TARGET) -> DataFrame:
     return media.select("doc_id", "media").mapInArrow(run, "doc_id long, segment long, start_s double, end_s double")
 
 
-def as_tensors(patches: pa.Table) -> pa.Table:
-    """The Arrow table of audio_patches (DataFrame.toArrow) with logmel as a fixed-shape tensor column; no value is copied."""
-    values = patches.column("logmel").combine_chunks()
-    storage = pa.FixedSizeListArray.from_arrays(values.flatten().cast(pa.float32()), PATCH * MELS)
-    tensor = pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.float32(), (PATCH, MELS), dim_names=["frame", "mel"]), storage)
-    return patches.set_column(patches.column_names.index("logmel"), "logmel", tensor)
+TENSOR = pa.fixed_shape_tensor(pa.float16(), (PATCH, MELS), dim_names=["frame", "mel"])
+
+
+def to_tensors(got: Features) -> bytes:
+    """An Arrow stream of the patches (start_s, end_s, logmel as fixed-shape tensors), then of the segments (start_s, end_s)."""
+    storage = pa.FixedSizeListArray.from_arrays(pa.array(got.patches.ravel()), PATCH * MELS)
+    patches = pa.table({"start_s": got.spans[:, 0], "end_s": got.spans[:, 1], "logmel": pa.ExtensionArray.from_storage(TENSOR, storage)})
+    segments = pa.table({"start_s": got.segments[:, 0], "end_s": got.segments[:, 1]})
+    out = pa.BufferOutputStream()
+    for part in (patches, segments):
+        with pa.ipc.new_stream(out, part.schema) as writer:
+            writer.write_table(part)
+    return out.getvalue().to_pybytes()
+
+
+def from_tensors(data: bytes) -> Features:
+    """What to_tensors has written; the patches are a view of the data."""
+    source = pa.BufferReader(data)
+    patches, segments = (pa.ipc.open_stream(source).read_all().combine_chunks() for _ in range(2))
+    spans = [np.stack((x.column("start_s").to_numpy(), x.column("end_s").to_numpy()), 1) for x in (patches, segments)]
+    return Features(patches.column("logmel").chunk(0).to_numpy_ndarray(), *spans)
+
+
+def audio_tensors(media: DataFrame, target: int = TARGET) -> DataFrame:
+    """(doc_id, tensors): each clip's Arrow stream of fixed-shape tensors with their time spans; null media gives no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if data.is_valid:
+                    yield pa.record_batch([pa.array([doc], pa.int64()), pa.array([to_tensors(features(data.as_py(), target))], pa.binary())], ["doc_id", "tensors"])
+
+    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, tensors binary")
 
 
 def _describe(got: Features) -> str:
-    """Shape, number of segments and their seconds, mean and spread, and a digest of the values in steps of 0.01."""
-    steps = np.round(got.patches * 100).astype("<i4")
-    return f"{len(got.patches)}x{PATCH}x{MELS};segments={len(got.segments)};loud_s={float(np.diff(got.segments).sum()):.3f};mean={got.patches.mean(dtype=np.float64):.3f};std={got.patches.std(dtype=np.float64):.3f};sha256={hashlib.sha256(steps.tobytes()).hexdigest()[:16]}"
+    """Shape, number of segments and their seconds, mean and spread, and a digest of the values."""
+    return f"{len(got.patches)}x{PATCH}x{MELS};segments={len(got.segments)};loud_s={float(np.diff(got.segments).sum()):.3f};mean={got.patches.mean(dtype=np.float64):.3f};std={got.patches.std(dtype=np.float64):.3f};sha256={hashlib.sha256(np.ascontiguousarray(got.patches).tobytes()).hexdigest()[:16]}"
 
 
 def op6_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Media are written and read, from what is read tensors are written, and from the tensors that are read comes the feature."""
     media = stored(media_column(table(spark, sf_dir, "documents")), "media")
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "tensors": pa.binary()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for data in batch.column(2):
-                data = data.as_py()
+            rows, held = [], 0
+            for doc, n, data in zip(*(batch.column(k) for k in range(3))):
+                doc, n, data = doc.as_py(), n.as_py(), data.as_py()
                 payload = from_wav(data)[1]
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), _describe(features(data))))
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.record_batch([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds))], names)
+                rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ALIGN:]), len(data), hashlib.sha256(data).hexdigest(), to_tensors(features(data))))
+                held += len(data)
+                if held >= 1 << 23:
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], list(kinds))
+                    rows, held = [], 0
+            if rows:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], list(kinds))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [_describe(from_tensors(x.as_py())) for x in batch.column(7)]
+            yield pa.record_batch([*batch.columns[:7], pa.array(told, pa.string())], [*list(kinds)[:7], "feature"])
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
+    tensors = stored(media.mapInArrow(measure, schema + "tensors binary"), "tensors")
+    return tensors.mapInArrow(describe, schema + "feature string")
