@@ -16,22 +16,27 @@ PASSAGE = 200
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that all rules keep, columns as given. Null and empty texts go; an empty table gives no rows."""
     return accepted(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies, that with the smallest doc_id, columns as given. Null ids and texts stay; an empty table gives no rows."""
     return without_near_copies(docs, shingle=5, similarity=0.8)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, without later copies of passages of PASSAGE bytes in text; n_chars follows. Null texts stay null; an empty table gives no rows."""
     return without_repeats(docs, PASSAGE)
 
 
 def target_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as their rate says, some not at all, columns as given. Rows that repeat are equal. An empty table gives no rows."""
     return mixed(docs, table(spark, sf_dir, "labels"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece, as of op9_packing. Each row of docs is packed, repeated ones too; a null text is a document of one separator."""
     return pack(pieces(docs))
 
 
@@ -43,7 +48,7 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: The classifier, the rates and the tokens have no SQL; tests compare the stages with brute force.
+#: The classifier, the rates and the tokens have no SQL; tests compare the stages' operators with brute force.
 ORACLE_SQL = None
 
 
