@@ -34,6 +34,8 @@ MARKS = frozenset(
     "footer foot header masthead comment comments commentlist discussion disqus replies reply respond cookie cookies consent gdpr notice notices notification alert disclaimer newsletter subscribe signup login search "
     "searchbox social share sharing sharebar related recommended recommendations popup modal overlay widget widgets pagination pager copyright skip outbrain taboola contentinfo complementary".split()
 )
+#: Marks that name an article as well as a notice about one: on half of the page's unlinked text they say nothing.
+WEAK = frozenset("alert banner banners header masthead notice notices promo promotion related search share sharing social widget widgets popup modal overlay".split())
 #: With one of these beside it a mark tells how the page is laid out, not what the element is, as in has-sidebar.
 LAYOUT = frozenset("has with no without layout".split())
 #: Elements that hold text rather than lay out a page.
@@ -134,13 +136,13 @@ def is_hidden(node: Node) -> bool:
     return False
 
 
-def is_marked(node: Node) -> bool:
+def is_marked(node: Node, marks: frozenset[str] = MARKS) -> bool:
     if not node.attributes or node.tag in ("html", "body", "article", "main", "#root"):
         return False
     for m in _ATTRIBUTE.finditer(node.attributes):
         if m[1].lower() in ("class", "id", "role"):
             parts = {x.lower() for x in _SPLIT.split(_value(m))}
-            if not MARKS.isdisjoint(parts) and LAYOUT.isdisjoint(parts):
+            if not marks.isdisjoint(parts) and LAYOUT.isdisjoint(parts):
                 return True
     return False
 
@@ -169,7 +171,7 @@ def is_boilerplate(node: Node, root: Node, in_article: bool, in_content: bool) -
         every = node.articles and node.articles == root.articles and not root.mains
         if not (node.mains or every or node.articles and share >= 0.5):
             return True
-    if is_marked(node) and not node.articles and not node.mains:
+    if is_marked(node, MARKS if share < 0.5 else MARKS - WEAK) and not node.articles and not node.mains:
         if share < (LARGE_INSIDE if in_article else LARGE):
             return True
         node.marked = True

@@ -479,3 +479,19 @@ def test_stages_keep_rows_and_clashing_columns(spark, tmp_path):
 def test_pages_with_a_text_column(spark):
     pages = spark.createDataFrame([(1, "<p>New words.</p>", "old", 3)], "page_id long, html string, text string, n_chars long")
     assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "New words.", 10)]
+
+
+@pytest.mark.parametrize("marked", ["class='post alert-story'", "id='banner-story'", "class='social-history'"])
+def test_marks_on_most_of_the_page_say_nothing(marked):
+    story = "".join(f"<p>Sentence {k} of the story, which is long enough to be read as such.</p>" for k in range(6))
+    page = f"<body><div class='nav'><a href='/'>Home</a></div><div {marked}>{story}</div><div>aside</div><div class='alert'>Cookies!</div></body>"
+    assert html.main_text(page).startswith("Sentence 0 of") and "Sentence 5" in html.main_text(page) and "Cookies" not in html.main_text(page)
+
+
+def test_density_leaves_out_what_is_not_marked():
+    """Link lists without a class go by their density alone: with every density equal they would stay."""
+    story = "".join(f"<p>Sentence {k} of the story, which is long enough to be read as such.</p>" for k in range(6))
+    links = "<div>" + "".join(f"<div><a href='/{k}'>Link {k}</a></div>" for k in range(12)) + "</div>"
+    page = f"<body>{links}<div><div>{story}</div></div>{links}</body>"
+    got = html.main_text(page)
+    assert got.startswith("Sentence 0") and got.endswith("as such.") and "Link" not in got
