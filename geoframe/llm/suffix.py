@@ -248,7 +248,8 @@ def _hashed_strings(rests: DataFrame, length: int) -> DataFrame:
                 yield pa.record_batch([pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy()), pa.array(np.full(n, doc)), pa.array(np.full(n, text_id)), pa.array(starts)], ["h1", "h2", "doc", "text_id", "first"])
 
     strings = rests.mapInArrow(run, "h1 long, h2 long, doc long, text_id long, first long")
-    least = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc", "text_id", "first")).alias("least"), F.count("*").alias("n")).where("n > 1")
+    # cut, so that the join has plain exchanges on both sides, of which Spark splits a string that very many runs have
+    least = cut(strings.groupBy("h1", "h2").agg(F.min(F.struct("doc", "text_id", "first")).alias("least"), F.count("*").alias("n")).where("n > 1"))
     return strings.join(least, ["h1", "h2"]).select("doc", "text_id", "first", F.col("first").alias("last"), (F.struct("doc", "text_id", "first") != F.col("least")).alias("earlier"))
 
 
@@ -277,7 +278,8 @@ def repeats(plain: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     entry = single.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc", "text_id", "pack")).alias("rep"))
     kinds = entry.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
     first = F.shiftrightunsigned("pack", 24)
-    equal = single.join(entry.where("n > 1"), ["core", "whole"]).select("doc", "text_id", first.alias("first"), (first + F.shiftrightunsigned("pack", 12).bitwiseAND(F.lit(4095))).alias("last"), (F.struct("doc", "text_id", "pack") != F.col("rep")).alias("earlier"))
+    again = cut(entry.where("n > 1").select("core", "whole", "rep"))
+    equal = single.join(again, ["core", "whole"]).select("doc", "text_id", first.alias("first"), (first + F.shiftrightunsigned("pack", 12).bitwiseAND(F.lit(4095))).alias("last"), (F.struct("doc", "text_id", "pack") != F.col("rep")).alias("earlier"))
     need = entry.join(kinds, "core").select("rep.*", "core", "kinds").groupBy("doc", "text_id").agg(F.collect_list(F.struct("pack", "core", "kinds")).alias("runs"))
     rests = cut(_rests(plain.join(need, ["doc", "text_id"]), length))
     found = equal.union(_sorted_buckets(rests.where(F.col("kinds") <= BUCKET), length)).union(_hashed_strings(rests.where(F.col("kinds") > BUCKET), length))
