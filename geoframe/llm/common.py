@@ -53,6 +53,13 @@ def bounded(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def steps(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that what a task derives from one batch stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text, empty for null, without building Python strings."""
     if isinstance(column, pa.ChunkedArray):

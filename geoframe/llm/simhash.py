@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import bounded, components, cut, table, text_bytes
+from geoframe.llm.common import bounded, components, cut, steps, table, text_bytes
 
 SEED = 42
 #: A bucket with more fingerprints than this is searched by shared centres instead of by pairs; both ways are exact.
@@ -145,7 +145,7 @@ def sketches(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             nodes, fps, need, prefix = [], [], [], []
             for node, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 hashes = shingle_hashes(text, shingle)
@@ -165,7 +165,7 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     """(node, fp, size, shingles) of each (node, fp, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             found = [np.unique(shingle_hashes(x, shingle)) for x in text_bytes(batch.column(2))]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), _lists(found)], ["node", "fp", "size", "shingles"])
 
@@ -185,7 +185,7 @@ def rarest(sets: DataFrame, similarity: float) -> DataFrame:
     shared = each.join(often, "shingle").groupBy("node", "fp", "size").agg(F.collect_list(F.struct("c", "shingle")).alias("shared"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             keep, all_, prefixes = [], [], []
             for size, found in zip(batch.column(2).to_pylist(), batch.column(3)):
                 often, one = (found.values.field(k).to_numpy() for k in range(2))
@@ -224,6 +224,10 @@ def few_pairs(rare: DataFrame, groups: DataFrame) -> DataFrame:
     return at.select("a", F.explode(F.slice("nodes", F.col("at") + 2, F.size("nodes"))).alias("b")).distinct()
 
 
+#: Columns of a 0/1 matrix and rows of a table of pairs that a task holds at a time.
+TILE, BAND = 1024, 128
+
+
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many numbers each of the left sets shares with each of the right ones, by products of 0/1 matrices."""
     sides = [(np.repeat(np.arange(len(x)), [len(y) for y in x]), np.concatenate(x)) for x in (left, right)]
@@ -235,34 +239,50 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         order = np.argsort(at[ok], kind="stable")
         placed.append((row[ok][order], at[ok][order]))
     out = np.zeros((len(left), len(right)), np.float32)
-    for first in range(0, len(known), 4096):
+    for first in range(0, len(known), TILE):
         parts = []
         for (row, at), n in zip(placed, out.shape):
-            a, b = np.searchsorted(at, (first, first + 4096))
-            part = np.zeros((n, 4096), np.float32)
+            a, b = np.searchsorted(at, (first, first + TILE))
+            part = np.zeros((n, TILE), np.float32)
             part[row[a:b], at[a:b] - first] = 1
             parts.append(part)
         out += parts[0] @ parts[1].T
     return out
 
 
+def _least_reached(label: np.ndarray, near: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The least label that each text reaches over near, a table of left by right; a band of rows is looked at at a time."""
+    while True:
+        before = label.copy()
+        for first in range(0, len(left), BAND):
+            band, rows = near[first : first + BAND], left[first : first + BAND]
+            least = np.minimum(label[rows], np.where(band, label[right], np.iinfo(np.int64).max).min(1))
+            label[rows] = least
+            label[right] = np.minimum(label[right], np.where(band, least[:, None], np.iinfo(np.int64).max).min(0))
+        if (label == before).all():
+            return label
+
+
 def block_links(members: DataFrame, similarity: float) -> DataFrame:
     """(a, b) that link all similar sets of each cluster, given as (cluster, node, size, shared), without a row for each pair.
 
-    Similar sets are of one size class or of neighbouring ones. A class is dealt into blocks by hash;
-    a task compares two blocks and gives each text one link to the least text that it reaches there.
+    Similar sets are of one size class or of neighbouring ones. A class is dealt into blocks by hash,
+    as many as its sets need; a task compares two blocks and gives each text one link to the least
+    text that it reaches there. A set goes only to classes that its cluster has.
     """
     sized = members.withColumn("kind", F.floor(F.log("size") / (math.log(1 / similarity) + 1e-9)))
-    load = sized.groupBy("cluster", "kind").agg(F.greatest(F.sum("size") / BLOCK, F.count("*") / MEMBERS).alias("load"))
-    parts = load.groupBy("cluster").agg(F.ceil(F.max("load")).cast("int").alias("parts"))
-    dealt = sized.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    load = sized.groupBy("cluster", "kind").agg(F.ceil(F.greatest(F.sum("size") / BLOCK, F.count("*") / MEMBERS)).cast("int").alias("parts"))
+    parts = load.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("kind", "parts"))).alias("parts"))
+    kind, part = F.col("kind"), F.col("part")
+    dealt = sized.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.element_at("parts", kind)).cast("int"))
     meet = lambda low, i, high, j, side: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side"))
-    kind, part, every = F.col("kind"), F.col("part"), F.sequence(F.lit(0), F.col("parts") - 1)
+    count = lambda k: F.coalesce(F.try_element_at("parts", k), F.lit(0))
+    every = lambda k: F.when(count(k) > 0, F.sequence(F.lit(0), count(k) - 1)).otherwise(F.array().cast("array<int>"))
     tasks = F.concat(
-        F.transform(every, lambda j: meet(kind, part, kind + 1, j, 0)),
-        F.transform(every, lambda j: meet(kind - 1, j, kind, part, 1)),
-        F.transform(F.filter(every, lambda j: j >= part), lambda j: meet(kind, part, kind, j, 0)),
-        F.transform(F.filter(every, lambda j: j < part), lambda j: meet(kind, j, kind, part, 1)),
+        F.transform(every(kind + 1), lambda j: meet(kind, part, kind + 1, j, 0)),
+        F.transform(every(kind - 1), lambda j: meet(kind - 1, j, kind, part, 1)),
+        F.transform(F.filter(every(kind), lambda j: j >= part), lambda j: meet(kind, part, kind, j, 0)),
+        F.transform(F.filter(every(kind), lambda j: j < part), lambda j: meet(kind, j, kind, part, 1)),
     )
     sent = dealt.select("cluster", "node", "size", "shared", F.explode(tasks).alias("t")).select("cluster", "t.*", "node", "size", "shared")
 
@@ -274,16 +294,11 @@ def block_links(members: DataFrame, similarity: float) -> DataFrame:
         label = node.copy()
         if len(left) and len(right):
             both = _common([sets[k] for k in left], [sets[k] for k in right])
-            near = (both > 0) & (both >= similarity * (size[left][:, None] + size[right][None, :] - both) - 1e-9)
-            rows_of, columns = np.nonzero(near)
-            a, b = left[rows_of], right[columns]
-            while True:
-                least = np.minimum(label[a], label[b])
-                before = label.copy()
-                np.minimum.at(label, a, least)
-                np.minimum.at(label, b, least)
-                if (label == before).all():
-                    break
+            near = np.empty(both.shape, bool)
+            for first in range(0, len(left), BAND):
+                some = slice(first, first + BAND)
+                near[some] = (both[some] > 0) & (both[some] >= similarity * (size[left[some]][:, None] + size[right][None, :] - both[some]) - 1e-9)
+            label = _least_reached(label, near, left, right)
         moved = label != node
         return pa.table({"a": label[moved], "b": node[moved]})
 
