@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -53,6 +54,18 @@ def bounded(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: What a Python worker keeps from task to task, also while it is idle: encoders with the words that they know.
+REMEMBERED: dict = {}
+
+
+def forget() -> None:
+    """Gives back what another operator's tasks remembered in this worker; they build it anew when they need it."""
+    if REMEMBERED:
+        REMEMBERED.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def steps(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that what a task derives from one batch stays small."""
     for batch in batches:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import bounded, components, cut, steps, table, text_bytes
+from geoframe.llm.common import bounded, components, cut, forget, steps, table, text_bytes
 
 SEED = 42
 #: A bucket with more fingerprints than this is searched by shared centres instead of by pairs; both ways are exact.
@@ -145,6 +145,7 @@ def sketches(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in steps(batches):
             nodes, fps, need, prefix = [], [], [], []
             for node, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):

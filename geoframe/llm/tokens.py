@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geoframe.llm.common import stored, table
+from geoframe.llm.common import REMEMBERED, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words of these characters only are cut where letters, single digits and other signs meet, as the tokenizer's own pattern cuts them; NFC leaves them alone and lower case maps each to one.
@@ -100,14 +100,11 @@ class Encoder:
         return ids, total[offsets[1:]]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder for a file; its memory of words carries over from batch to batch."""
-    if (path, plain) not in _ENCODERS:
-        _ENCODERS[path, plain] = Encoder(path, plain)
-    return _ENCODERS[path, plain]
+    if (path, plain) not in REMEMBERED:
+        REMEMBERED[path, plain] = Encoder(path, plain)
+    return REMEMBERED[path, plain]
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
