@@ -61,17 +61,28 @@ def id_lists(df: DataFrame, id_col: str, size: int, pad_last: bool = False) -> D
     return made.select("block", F.concat_ws(",", F.transform(ids, lambda x: x.cast("string"))).alias("ids"))
 
 
-def availability(df: DataFrame, source: str, time: str, slots_per_day: int) -> DataFrame:
-    """Slots expected and present of each source and day."""
+def availability(df: DataFrame, source: str, time: str, slots_per_day: int, sources: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
+    """Slots expected and present of each source on each day, also where there is none.
+
+    Sources (source) are those of df or as given, days (day) all from its first to its last one or as
+    given. The two axes are crossed, which is what is reported; the rows are counted first and meet it
+    by key.
+    """
     width = 86_400_000_000 // slots_per_day
-    slotted = df.select(source, F.date_trunc("day", time).cast("timestamp_ntz").alias("day"), F.floor(micros(F.col(time)) / width).alias("slot"))
-    return slotted.groupBy(source, "day").agg(F.count_distinct("slot").cast("long").alias("present")).withColumn("expected", F.lit(slots_per_day).cast("long"))
+    day = F.date_trunc("day", time).cast("timestamp_ntz")
+    slotted = df.select(source, day.alias("day"), F.floor(micros(F.col(time)) / width).alias("slot"))
+    present = slotted.groupBy(source, "day").agg(F.count_distinct("slot").cast("long").alias("present"))
+    if days is None:
+        ends = df.agg(F.min(day).alias("a"), F.max(day).alias("b"))
+        days = ends.where("a is not null").select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    known = (df if sources is None else sources).select(source).distinct()
+    return known.crossJoin(days.select("day")).join(present, [source, "day"], "left").select(source, "day", F.coalesce("present", F.lit(0)).cast("long").alias("present"), F.lit(slots_per_day).cast("long").alias("expected"))
 
 
 def forecast_steps(df: DataFrame, run: list[str], time: str) -> DataFrame:
-    """df with the run's first valid time as init_time and each row's step in seconds."""
-    init = df.groupBy(*run).agg(F.min(time).alias("init_time"))
-    return df.join(init, run).withColumn("step_s", step_seconds(F.col(time), F.col("init_time")))
+    """df with the run's first valid time as init_time and each row's step in seconds; a run is as large as its steps, so one window holds it."""
+    init = F.min(time).over(Window.partitionBy(*run))
+    return df.withColumn("init_time", init).withColumn("step_s", step_seconds(F.col(time), F.col("init_time")))
 
 
 def axis_index(df: DataFrame, column: str) -> DataFrame:
@@ -83,8 +94,3 @@ def axis_index(df: DataFrame, column: str) -> DataFrame:
 
 def first_available(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(1)
-
-
-def last_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(*(F.desc(c) for c in order))
-    return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geoframe.catalog import query, table
 from geoframe.functions import times as T
 from geoframe.functions import values as V
+from geoframe.operators import chunk as K
 from geoframe.operators import shape as S
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -184,3 +185,51 @@ def agg6(spark, sf_dir):
 def agg7(spark, sf_dir):
     cells = table(spark, sf_dir, "customer").select("c_nationkey", (F.col("c_acctbal") / 100).alias("longitude"), (F.col("c_acctbal") / 200).alias("latitude"))
     return S.bounding_box(cells, ["c_nationkey"], "latitude", "longitude")
+
+
+def _digest(chunks, grid, value, keys=()):
+    """Blocks and, in row-major order, cells, nulls and their weighted sum."""
+    weighted = F.aggregate(F.transform(value, lambda v, k: F.coalesce(v.cast("double"), F.lit(0.0)) * (k + 1)), F.lit(0.0), lambda a, v: a + v)
+    return chunks.select(*keys, *grid.blocks, F.size(value).cast("long").alias("n"), F.size(F.filter(value, lambda v: v.isNull())).cast("long").alias("n_null"), F.round(weighted, 3).alias("weighted"))
+
+
+@query("SNK17_sample_major_to_value_major", """
+WITH n AS (SELECT max(vec_id) + 1 AS n FROM embeddings),
+grid AS (SELECT s.s AS sample, k, s // 100 AS bs, k // 24 AS bk FROM (SELECT unnest(range((SELECT n FROM n))) AS s) s, range(64) t(k)),
+cells AS (SELECT bs, bk, (sample - bs * 100) * least(24, 64 - bk * 24) + k - bk * 24 AS pos, embedding[k + 1]::DOUBLE AS v FROM grid LEFT JOIN embeddings ON vec_id = sample)
+SELECT CAST(bs AS INT) AS block_sample, CAST(bk AS INT) AS block_value, count(*) AS n, count(*) FILTER (v IS NULL) AS n_null, round(sum(coalesce(v, 0) * (pos + 1)), 3) AS weighted FROM cells GROUP BY 1, 2
+""")
+def snk17_axes(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    samples = vectors.agg(F.max("vec_id") + 1).first()[0] or 1
+    one = K.Grid({"sample": samples, "value": 64}, {"sample": 1, "value": -1})
+    many = K.Grid({"sample": samples, "value": 64}, {"sample": 100, "value": 24})
+    rows = vectors.select(F.col("vec_id").cast("int").alias("block_sample"), F.lit(0).alias("block_value"), F.col("embedding").alias("v"))
+    return _digest(K.rechunked(rows, one, many, ["v"]), many, "v")
+
+
+@query("SNK17_three_axes", """
+WITH ends AS (SELECT date_trunc('day', min(ts)) AS a, date_diff('day', date_trunc('day', min(ts)), date_trunc('day', max(ts))) + 1 AS days FROM events),
+cells AS (SELECT date_diff('day', a, date_trunc('day', ts)) AS day, hour(ts) AS hour, user_id % 10 AS band, sum(value) AS v FROM events, ends GROUP BY 1, 2, 3),
+grid AS (SELECT d.d AS day, h.h AS hour, b.b AS band FROM (SELECT unnest(range((SELECT days FROM ends))) AS d) d, range(24) h(h), range(10) b(b)),
+placed AS (SELECT day // 7 AS bd, hour // 24 AS bh, band // 4 AS bb, ((day % 7) * 24 + hour) * least(4, 10 - band // 4 * 4) + band % 4 AS pos, v FROM grid LEFT JOIN cells USING (day, hour, band))
+SELECT CAST(bd AS INT) AS block_day, CAST(bh AS INT) AS block_hour, CAST(bb AS INT) AS block_band, count(*) AS n, count(*) FILTER (v IS NULL) AS n_null, round(sum(coalesce(v, 0) * (pos + 1)), 3) AS weighted FROM placed GROUP BY 1, 2, 3 HAVING count(v) > 0
+""")
+def snk17_three(spark, sf_dir):
+    """Cells to chunks of an hour for all days and bands, those to weeks of all hours for four bands, which are short at the axes' ends."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    lengths = {"day": (last - first).days + 1 if first else 1, "hour": 24, "band": 10}
+    cells = events.groupBy(F.date_diff(F.to_date("ts"), F.lit(first)).alias("day"), F.hour("ts").alias("hour"), (F.col("user_id") % 10).cast("int").alias("band")).agg(F.sum("value").alias("v"))
+    hourly, weekly = K.Grid(lengths, {"day": -1, "hour": 1, "band": -1}), K.Grid(lengths, {"day": 7, "hour": -1, "band": 4})
+    made = K.rechunked(K.to_chunks(cells, hourly, ["v"]), hourly, weekly, ["v"])
+    return _digest(made.where(F.exists("v", lambda v: v.isNotNull())), weekly, "v")
+
+
+@query("SNK18_three_axes_to_cells", "SELECT date_diff('day', (SELECT date_trunc('day', min(ts)) FROM events), date_trunc('day', ts))::INT AS day, hour(ts)::INT AS hour, (user_id % 10)::INT AS band, round(sum(value), 6) AS v, count(*) AS n FROM events GROUP BY 1, 2, 3")
+def snk18_three(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    grid = K.Grid({"day": (last - first).days + 1 if first else 1, "hour": 24, "band": 10}, {"day": 5, "hour": 7, "band": 3})
+    cells = events.groupBy(F.date_diff(F.to_date("ts"), F.lit(first)).alias("day"), F.hour("ts").alias("hour"), (F.col("user_id") % 10).cast("int").alias("band")).agg(F.sum("value").alias("v"), F.count("*").alias("n"))
+    return K.to_cells(K.to_chunks(cells, grid, ["v", "n"]), grid, ["v", "n"]).where("n is not null").withColumn("v", F.round("v", 6))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import copy
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -18,7 +19,11 @@ from geoframe.operators import combine as C
 from geoframe.operators import join as J
 from geoframe.operators import select as L
 from geoframe.operators import shape as S
+from geoframe.sources import archives as A
+from geoframe.sources import checked as X
+from geoframe.sources import manifest as M
 from geoframe.sources import readers as R
+from geoframe.sources import report as P
 from geoframe.sources.store import Store, export_blocks, export_csv, export_text, scratch
 
 
@@ -53,9 +58,9 @@ def src2(spark, sf_dir):
     return R.station_list(spark, path, [("id", 0, "string"), ("latitude", 2, "double"), ("longitude", 1, "double"), ("elevation", 3, "double")])
 
 
-@query("SRC4_gzip_csv", "SELECT event_id, date_trunc('second', ts) AS ts, value FROM events WHERE event_type = 'view'")
+@query("SRC4_gzip_csv", "SELECT event_id, date_trunc('second', ts) AS ts, value FROM events")
 def src4(spark, sf_dir):
-    given = table(spark, sf_dir, "events").where("event_type = 'view'").select("event_id", T.ntz(F.date_trunc("second", "ts")).alias("ts"), "value", (F.col("user_id") % 10).alias("station"))
+    given = table(spark, sf_dir, "events").select("event_id", T.ntz(F.date_trunc("second", "ts")).alias("ts"), "value", (F.col("user_id") % 10).alias("station"))
     path = export_csv(given.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value", "station"), scratch(spark, "hourly"), ["station"], "gzip")
     return R.csv_series(spark, path, "event_id long, ts timestamp_ntz, value double, station long").select("event_id", "ts", "value")
 
@@ -69,19 +74,33 @@ def src5(spark, sf_dir):
     return read.select(F.col("station").alias("l_orderkey"), F.col("valid").alias("l_linenumber"), "tmpf", "precip")
 
 
-@query("SRC6_zip_of_tsv", "SELECT CAST(user_id % 100 AS INT) AS station, date_trunc('second', ts) AS time, 'power' AS variable, value FROM events WHERE event_type = 'purchase' AND value IS NOT NULL")
-def src6(spark, sf_dir):
+def packed_archives(rows):
+    """(path, content) of zip archives of the rows (station, time, value), one for each batch, with a TSV member for each station and one that isn't data."""
+
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             held = io.BytesIO()
-            with zipfile.ZipFile(held, "w") as archive:
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("readme.txt", "not a member")
-                for station, rows in batch.groupby("station"):
-                    archive.writestr(f"tngxxx{station:02d}.tsv", rows[["time", "value"]].to_csv(sep="\t", header=False, index=False))
-            yield pd.DataFrame({"path": ["tng.zip"], "content": [held.getvalue()]})
+                for station, own in batch.groupby("station"):
+                    archive.writestr(f"data/tngxxx{station:02d}.tsv", own[["time", "value"]].to_csv(sep="\t", header=False, index=False))
+            yield pd.DataFrame({"path": [f"{uuid.uuid4().hex[:2]}/{uuid.uuid4().hex}.zip"], "content": [held.getvalue()]})
+
+    return rows.mapInPandas(pack, "path string, content binary")
 
-    given = table(spark, sf_dir, "events").where("event_type = 'purchase' and value is not null").select((F.col("user_id") % 100).cast("int").alias("station"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"), "value")
-    return R.zip_members(given.mapInPandas(pack, "path string, content binary"), "tng", ["power"])
+
+@query("SRC6_zip_of_tsv", "SELECT CAST(user_id % 100 AS INT) AS station, date_trunc('second', ts) AS time, 'power' AS variable, value FROM events WHERE value IS NOT NULL")
+def src6(spark, sf_dir):
+    given = table(spark, sf_dir, "events").select((F.col("user_id") % 100).cast("int").alias("station"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"), "value")
+    path = A.write_files(packed_archives(given), scratch(spark, "archives"))
+    return A.station_members(spark, path, "tng", ["power"]).select("station", "time", "variable", "value")
+
+
+@query("SRC6_one_station", "SELECT CAST(user_id % 100 AS INT) AS station, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE user_id % 100 = 7 AND value IS NOT NULL GROUP BY 1")
+def src6_station(spark, sf_dir):
+    given = table(spark, sf_dir, "events").select((F.col("user_id") % 100).cast("int").alias("station"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"), "value")
+    path = A.write_files(packed_archives(given), scratch(spark, "archives"))
+    return A.station_members(spark, path, "tng", ["power"], "07").groupBy("station").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("SRC7_json_inventory", "SELECT CAST(user_id AS VARCHAR) AS id, strftime(min(ts), '%Y-%m-%d') AS start, strftime(max(ts), '%Y-%m-%d') AS \"end\" FROM events GROUP BY 1")
@@ -114,6 +133,21 @@ def src9(spark, sf_dir):
     return R.multi_file(spark, [f"{path}/0", f"{path}/1"], _scaled_time, "event_id long, ts timestamp_ntz, value double", gain=2.0).select("event_id", "time", "value")
 
 
+def _above_own_minimum(df, gain=1.0):
+    """Values as distance from the least one of their own file."""
+    return df.join(F.broadcast(df.agg(F.min("value").alias("least")))).withColumn("value", (F.col("value") - F.col("least")) * gain).drop("least")
+
+
+@query("SRC9_nested_files", "SELECT event_type AS band, CAST(user_id % 2 AS INT) AS half, event_id, round((value - min(value) OVER (PARTITION BY event_type, user_id % 2)) * 3.0, 6) AS value FROM events")
+def src9_nested(spark, sf_dir):
+    path = scratch(spark, "nested")
+    given = table(spark, sf_dir, "events").select("event_id", "value", "event_type", (F.col("user_id") % 2).cast("int").alias("half"))
+    given.repartition("event_type", "half").write.partitionBy("event_type", "half").parquet(path)
+    bands = [r[0] for r in given.select("event_type").distinct().orderBy("event_type").collect()]
+    files = {b: {h: f"{path}/event_type={b}/half={h}" for h in (0, 1)} for b in bands}
+    return R.nested_files(spark, files, _above_own_minimum, "band", "half", "event_id long, value double", gain=3.0).withColumn("value", F.round("value", 6))
+
+
 @query("SRC10_file_discovery", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events")
 def src10(spark, sf_dir):
     path = scratch(spark, "found")
@@ -128,12 +162,12 @@ def src11(spark, sf_dir):
     return R.flattened(spark.read.schema("l_orderkey long, l_linenumber int, l_partkey long, Grid struct<precipitation double, random_error double>").parquet(path), "Grid")
 
 
-@query("SRC12_read_committed", "SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'view')")
+@query("SRC12_read_committed", "SELECT event_id, event_type, value FROM events WHERE event_type NOT IN ('purchase', 'error')")
 def src12(spark, sf_dir):
     given = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.to_date("ts").alias("day"))
     path = scratch(spark, "committed")
     store = Store(spark, path, ["day"]).create(given.where("event_type = 'error'"))
-    store.append_products(given.where("event_type = 'click'"), "event_type", 1).append_products(given.where("event_type = 'view'"), "event_type", 2)
+    store.append_products(given.where("event_type = 'click'"), "event_type", 1).append_products(given.where("event_type not in ('click', 'purchase', 'error')"), "event_type", 2)
     interrupted(store, given.where("event_type = 'purchase'"), "event_type", 3)
     store = Store.open(spark, path)
     return store.committed("event_type").select("event_id", "event_type", "value")
@@ -260,6 +294,103 @@ def snk16(spark, sf_dir):
     return store.read()
 
 
+SCENES = "SELECT 'sat' || (user_id % 3) AS satellite, event_type AS band, ts AS time, 's/' || event_id AS path FROM events"
+ASKED = "SELECT 'sat' || (user_id % 3) AS satellite, event_type AS band, date_trunc('hour', ts)::TIMESTAMP + INTERVAL 30 MINUTE AS time FROM events WHERE day(ts) IN (3, 4) GROUP BY ALL"
+
+
+def scenes_of(events):
+    return events.select(F.concat(F.lit("sat"), (F.col("user_id") % 3).cast("string")).alias("satellite"), F.col("event_type").alias("band"), F.col("ts").alias("time"), F.concat(F.lit("s/"), F.col("event_id").cast("string")).alias("path"))
+
+
+@query("SNK16_pruned_manifest", f"""
+SELECT a.satellite, a.band, a.time, arg_min(s.time, (abs(epoch_us(s.time) - epoch_us(a.time)), s.time, s.path)) AS scene_time, arg_min(s.path, (abs(epoch_us(s.time) - epoch_us(a.time)), s.time, s.path)) AS path
+FROM ({ASKED}) a LEFT JOIN ({SCENES}) s ON s.satellite = a.satellite AND s.band = a.band AND abs(epoch_us(s.time) - epoch_us(a.time)) <= 1800000000 GROUP BY 1, 2, 3
+""")
+def snk16_pruned(spark, sf_dir):
+    scenes = scenes_of(table(spark, sf_dir, "events"))
+    manifest = M.Manifest.write(spark, scratch(spark, "manifest"), scenes, "day")
+    asked = scenes.where("day(time) in (3, 4)").select("satellite", "band", (F.date_trunc("hour", "time").cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTES")).alias("time")).distinct()
+    return manifest.found(asked, 1800)
+
+
+#: Rows that are damaged when they are written, as text.
+DAMAGED = "event_id % 211 = 3"
+
+
+def damaged_csv(spark, sf_dir):
+    """events as CSV by day, some values unreadable and some rows short."""
+    value = F.when(F.expr(f"{DAMAGED} and event_id % 2 = 0"), F.lit("n/a?")).otherwise(F.col("value").cast("string"))
+    tail = F.when(F.expr(f"{DAMAGED} and event_id % 2 = 1"), F.lit("")).otherwise(F.concat(F.lit(","), F.coalesce(value, F.lit(""))))
+    line = F.concat(F.col("event_id").cast("string"), F.lit(","), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), tail)
+    path = scratch(spark, "damaged")
+    table(spark, sf_dir, "events").select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day")).write.option("compression", "gzip").partitionBy("day").text(path)
+    return X.csv_rows(spark, path, "event_id long, ts timestamp_ntz, value double", header=False)
+
+
+@query("SRC4_damage_by_day", f"SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (NOT ({DAMAGED})) AS good, count(*) FILTER ({DAMAGED}) AS damaged FROM events GROUP BY 1")
+def src4_damage(spark, sf_dir):
+    rows = damaged_csv(spark, sf_dir).withColumn("day", F.col("day").cast("string"))
+    return X.damage(rows, ["day"]).drop("example")
+
+
+@query("SRC4_sound_rows", f"SELECT event_id, ts, value FROM events WHERE NOT ({DAMAGED})")
+def src4_sound(spark, sf_dir):
+    return X.sound_rows(damaged_csv(spark, sf_dir)).select("event_id", "ts", "value")
+
+
+@query("FLT16_runs_without_damage", f"SELECT event_id, value FROM events WHERE strftime(ts, '%Y-%m-%d') NOT IN (SELECT strftime(ts, '%Y-%m-%d') FROM events WHERE {DAMAGED})")
+def flt16_runs(spark, sf_dir):
+    return X.sound_groups(damaged_csv(spark, sf_dir), ["day"]).select("event_id", "value")
+
+
+@query("SRC7_damaged_inventory", "SELECT c_custkey % 5 = 0 AS bad, count(*) AS n FROM customer GROUP BY 1")
+def src7_damage(spark, sf_dir):
+    start = F.format_string('{"id": "%d", "inventory": {"hourly": {"start": "2020-01-01", "end": "2024-01-01"}}}', F.col("c_custkey"))
+    line = F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit('{"id": '), F.col("c_custkey").cast("string"))).otherwise(start)
+    path = export_text(table(spark, sf_dir, "customer"), line, scratch(spark, "inventory"))
+    rows = X.json_rows(spark, path, "id string, inventory struct<hourly struct<start string, end string>>")
+    return rows.groupBy(F.col("error").isNotNull().alias("bad")).agg(F.count("*").alias("n"))
+
+
+@query("FLT16_decoder_failures", "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n FROM embeddings WHERE label NOT IN (SELECT label FROM embeddings WHERE vec_id % 251 = 5)")
+def flt16_decoder(spark, sf_dir):
+    """A decoder that fails on one file of a run: the whole run of that label goes, other runs stay."""
+
+    def decode(content: bytes) -> pd.DataFrame:
+        if len(content) % 4:
+            raise ValueError("not whole numbers")
+        return pd.DataFrame({"n": [len(content) // 4]})
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [np.asarray(v, "<f4").tobytes() + b"x" * (i % 251 == 5) for i, v in zip(batch["vec_id"], batch["embedding"])]
+            yield pd.DataFrame({"path": [f"{a}/{i}" for a, i in zip(batch["label"], batch["vec_id"])], "content": held})
+
+    files = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label").mapInPandas(encode, "path string, content binary")
+    run, number = F.split("file", "/")[0], F.split("file", "/")[1].cast("long")
+    rows = R.decoded(files, decode, "n long").select(number.alias("vec_id"), run.alias("run"), "n", "error")
+    return X.sound_groups(rows, ["run"]).select("vec_id", "n")
+
+
+@query("AGG3_report_while_writing", "SELECT event_type AS run, CAST(coalesce(sum(user_id) FILTER (event_id % 7 <> 0), 0) AS BIGINT) AS bytes, count(*) FILTER (event_id % 7 <> 0) AS succeeded, count(*) FILTER (event_id % 7 = 0) AS failed FROM events GROUP BY 1")
+def agg3_observed(spark, sf_dir):
+    given = daily(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    runs = [r[0] for r in given.select("event_type").distinct().collect()]
+    store = Store(spark, scratch(spark, "observed"), ["day"])
+    return P.reported_write(given, store.create, runs, "event_type", F.col("user_id"), F.col("event_id") % 7 != 0)
+
+
+@query("SNK11_many_batches", "SELECT CAST(user_id AS VARCHAR) AS product, count(*) AS n FROM events GROUP BY 1")
+def snk11_batches(spark, sf_dir):
+    """Names come again in later batches and are skipped; the ledger is compacted on the way."""
+    given = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("product"), F.to_date("ts").alias("day"))
+    store = Store(spark, scratch(spark, "batched"), ["day"]).create(given.limit(0))
+    store.append_products(given.where("crc32(product) % 3 = 0"), "product", 1).append_products(given.where("crc32(product) % 3 < 2"), "product", 2)
+    store.ledger.compact()
+    store.append_products(given, "product", 3).append_products(given, "product", 4)
+    return store.committed("product").groupBy("product").agg(F.count("*").alias("n"))
+
+
 @query("UDF1_preprocess_hook", "SELECT event_id, ts AS time, value * 3.0 AS value FROM events")
 def udf1(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", "ts", "value").transform(_scaled_time, gain=3.0)

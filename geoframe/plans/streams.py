@@ -96,3 +96,43 @@ def str9(spark, sf_dir):
 
     J.each_batch(events(spark, sf_dir).select("event_id", "event_type", F.to_date("ts").alias("day")), twice, scratch(spark, "progress"))
     return store.committed("event_type").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def whole_stream(spark, sf_dir, name, time):
+    """A table's file as a stream, its schema as stored."""
+    return J.read_files(spark, f"{sf_dir}/{name}.parquet", table(spark, sf_dir, name).schema, time)
+
+
+@query("STR2_calendar_weeks", "SELECT date_trunc('week', ts)::TIMESTAMP AS start, date_trunc('week', ts)::TIMESTAMP + INTERVAL 7 DAY AS \"end\", count(*) AS n, round(sum(value), 4) AS total FROM events WHERE date_trunc('week', ts) < (SELECT date_trunc('week', max(ts)) FROM events) GROUP BY 1")
+def str2_weeks(spark, sf_dir):
+    made = J.calendar_windows(whole_stream(spark, sf_dir, "events", "ts"), "ts", "week", 0, [], n=F.count("*"), total=F.sum("value"))
+    return through_files(spark, made).withColumn("total", F.round("total", 4))
+
+
+@query("STR3_months_with_delay", "SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS start, date_trunc('month', o_orderdate)::TIMESTAMP + INTERVAL 1 MONTH AS \"end\", count(*) AS n FROM orders WHERE date_trunc('month', o_orderdate) < (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 2 MONTH FROM orders) GROUP BY 1")
+def str3_months(spark, sf_dir):
+    return through_files(spark, J.calendar_windows(whole_stream(spark, sf_dir, "orders", "o_orderdate"), "o_orderdate", "month", -2, [], n=F.count("*")))
+
+
+@query("STR6_months_by_priority", "SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS start, o_orderpriority, count(*) AS n, max(o_totalprice) AS most FROM orders WHERE date_trunc('month', o_orderdate) < (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 1 MONTH FROM orders) GROUP BY 1, 2")
+def str6_months(spark, sf_dir):
+    made = J.calendar_windows(whole_stream(spark, sf_dir, "orders", "o_orderdate"), "o_orderdate", "month", -1, ["o_orderpriority"], n=F.count("*"), most=F.max("o_totalprice"))
+    return through_files(spark, made).drop("end")
+
+
+@query("STR7_run_deadlines", """
+WITH r AS (SELECT l_orderkey, o_orderdate, list(DISTINCT l_linenumber) AS lines FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2)
+SELECT l_orderkey, CASE WHEN len(lines) >= 4 THEN 'complete' ELSE 'expired' END AS status, len(lines)::BIGINT AS steps, CASE WHEN len(lines) >= 4 THEN '' ELSE array_to_string([k FOR k IN [1, 2, 3, 4] IF NOT list_contains(lines, k)], ',') END AS missing
+FROM r WHERE len(lines) >= 4 OR o_orderdate <= (SELECT max(o_orderdate) FROM r) - INTERVAL 30 DAY
+""")
+def str7_deadlines(spark, sf_dir):
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("init_time"))
+    steps = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber")).join(runs, "l_orderkey")
+    files, path, progress = scratch(spark, "steps"), scratch(spark, "told"), scratch(spark, "progress")
+    schema = "l_orderkey long, status string, steps long, missing array<long>, init_time timestamp"
+    for part in J.parts_by_time(steps, "init_time", 3):
+        part.write.mode("append").parquet(files)
+        stream = spark.readStream.schema(steps.schema).parquet(files).withColumn("init_time", F.col("init_time").cast("timestamp"))
+        with J.timers(spark):
+            J.to_files(J.tracked_runs(stream, "l_orderkey", "l_linenumber", 4, "init_time", "30 days", first=1, last=64), path, progress)
+    return spark.read.schema(schema).parquet(path).select("l_orderkey", "status", "steps", F.concat_ws(",", F.transform("missing", lambda k: k.cast("string"))).alias("missing"))

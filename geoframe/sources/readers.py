@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.functions.times import ntz
-
 
 def station_years(spark: SparkSession, path: str, schema: str, stations: list | None = None, years: list[int] | None = None) -> DataFrame:
     """Observations stored by station and year; both filters prune folders and row groups."""
@@ -36,33 +33,6 @@ def csv_series(spark: SparkSession, path: str, schema: str, header: bool = True)
     return spark.read.schema(schema).option("header", header).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 
 
-def zip_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of archives."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(path).select("path", "content")
-
-
-def zip_members(archives: DataFrame, prefix: str, columns: list[str], station: str = "all") -> DataFrame:
-    """(station int, time, variable, value) of the TSV members whose name begins with a prefix, the station number at characters 7 and 8.
-
-    An archive is opened by one task and its members come out one at a time.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        base = name.rsplit("/", 1)[-1]
-                        if not base.startswith(prefix) or not base.endswith(".tsv") or station != "all" and base[6:8] != station:
-                            continue
-                        rows = pd.read_csv(archive.open(name), sep="\t", header=None, names=["time", *columns])
-                        long = rows.melt("time", var_name="variable", value_name="value").dropna()
-                        yield pd.DataFrame({"station": int(base[6:8]), "time": long["time"].astype(str), "variable": long["variable"], "value": long["value"].astype(float)})
-
-    found = archives.select("content").mapInPandas(run, "station int, time string, variable string, value double")
-    return found.withColumn("time", ntz(F.try_to_timestamp("time")))
-
-
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """(id, start, end) of a JSON station inventory with nested ranges."""
     found = spark.read.schema("id string, inventory struct<hourly struct<start string, end string>>").json(path)
@@ -81,6 +51,18 @@ def multi_file(spark: SparkSession, paths: list[str], preprocess: Callable[...,
     return read.parquet(*paths).withColumn("file", F.col("_metadata.file_path")).transform(preprocess, **bound)
 
 
+def nested_files(spark: SparkSession, files: dict, preprocess: Callable[..., DataFrame], outer: str, inner: str, schema: str | None = None, **bound) -> DataFrame:
+    """Files given as {outer label: {inner label: path}}, joined along two new axes, each file preprocessed on its own.
+
+    ``preprocess`` gets the rows of one file, so it may use that file's extent, and bound arguments.
+    Columns that a file lacks are null. The plan has a scan for each file, so this is for the files of
+    a run, not for an archive; those share one scan in ``multi_file``.
+    """
+    read = spark.read.schema(schema) if schema else spark.read
+    parts = [preprocess(read.parquet(path), **bound).withColumn(inner, F.lit(b)).withColumn(outer, F.lit(a)) for a, held in files.items() for b, path in held.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def discovered(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(path, length) of files of a name pattern at any depth; AppleDouble companions are left out. Contents are not read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)

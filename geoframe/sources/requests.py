@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,7 +110,3 @@ def backward_windows(stations: DataFrame, start: str, end: str, days: int = 365)
     step = F.expr(f"INTERVAL {days} DAYS")
     ends = F.filter(F.sequence(F.lit(end).cast("timestamp_ntz"), F.lit(start).cast("timestamp_ntz"), F.expr(f"INTERVAL -{days} DAYS")), lambda t: t > F.lit(start).cast("timestamp_ntz"))
     return stations.withColumn("end", F.explode(ends)).withColumn("start", F.col("end") - step)
-
-
-def all_requests(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from geoframe.sources.ledger import Ledger
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir). Where it is unset, on one machine only, in a temporary one."""
@@ -28,6 +30,7 @@ class Store:
     def __init__(self, spark: SparkSession, path: str, partition: list[str], schema: StructType | None = None):
         self.spark, self.path, self.partition, self.schema = spark, f"{path}/data", partition, schema
         self.schema_path, self.batch_path, self.ledger_path = f"{path}/schema", f"{path}/batches", f"{path}/ledger"
+        self.ledger = Ledger(spark, self.ledger_path)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Store:
@@ -56,7 +59,7 @@ class Store:
     def batches(self) -> DataFrame | None:
         """Rows of the batches in the ledger; what a failed batch has left isn't read."""
         found = self._stored(self.batch_path, StructField("_batch", LongType()))
-        known = self.used().select(F.col("batch").alias("_batch")).distinct()
+        known = self.ledger.batches().select(F.col("batch").alias("_batch"))
         return found and found.join(known, "_batch", "left_semi").select(self.schema.names)
 
     def read(self) -> DataFrame:
@@ -116,34 +119,30 @@ class Store:
         return True
 
     def used(self) -> DataFrame:
-        """(product, batch) of committed batches; each has a row without product, too."""
-        try:
-            return self.spark.read.schema("product string, batch long").parquet(self.ledger_path)
-        except AnalysisException as error:  # no batch yet
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], "product string, batch long")
+        """(product, batch) of committed batches."""
+        return self.ledger.names()
 
     def append_products(self, df: DataFrame, product: str, batch: int) -> Store:
         """Writes the rows of products that no earlier batch had as a batch, then commits their names; a batch that is there already is skipped.
 
-        A batch has a folder of its own, which a retry overwrites, and it is read only once its names are
-        in the ledger, which is one write. Whatever a run that failed in between has left doesn't count.
+        A batch has a folder of its own, which a retry overwrites, and it is read only once the ledger has its
+        commit, which is one write. Whatever a run that failed in between has left doesn't count.
         """
         self.check(df)
-        used = self.used()
-        if not used.where(F.col("batch") == batch).isEmpty():
+        if self.ledger.committed(batch):
             return self
-        held = used.where("product is not null").select(F.col("product").alias("_product"))
-        fresh = df.select(self.schema.names).join(held, F.col(product).cast("string") == F.col("_product"), "left_anti")
-        path = f"{self.batch_path}/_batch={batch}"
-        fresh.repartition(*self.partition).write.mode("overwrite").partitionBy(*self.partition).parquet(path)
-        names = self._stored(path).select(F.col(product).cast("string").alias("product"))
-        self._commit(names.unionByName(names.sparkSession.sql("SELECT CAST(null AS STRING) AS product")).distinct(), batch)
+        name = F.col(product).cast("string")
+        asked = f"{self.ledger_path}/asked-{uuid.uuid4().hex}"
+        df.where(name.isNotNull()).select(name.alias("product")).distinct().write.parquet(asked)
+        names = self.spark.read.schema("product string").parquet(asked)
+        known = self.ledger.known(names, batch).select(F.col("product").alias("_product"))
+        fresh = df.select(self.schema.names).join(known, name == F.col("_product"), "left_anti")
+        fresh.repartition(*self.partition).write.mode("overwrite").partitionBy(*self.partition).parquet(f"{self.batch_path}/_batch={batch}")
+        self._commit(names.join(known, F.col("product") == F.col("_product"), "left_anti"), batch)
         return self
 
     def _commit(self, names: DataFrame, batch: int) -> None:
-        names.write.mode("overwrite").parquet(f"{self.ledger_path}/batch={batch}")
+        self.ledger.commit(names, batch)
 
     def committed(self, product: str) -> DataFrame:
         """Rows of products in the ledger only."""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoframe.sources.store import Store
+from geoframe.streaming.runs import timers, tracked_runs
 
 
 def read_files(spark: SparkSession, path: str, schema: str, time: str, files_per_batch: int = 64) -> DataFrame:
@@ -65,18 +66,53 @@ def ledger_sink(store: Store, product: str, offset: int = 0) -> Callable[[DataFr
 def complete_runs(stream: DataFrame, run: str, step: str, expected: int, time: str, delay: str, path: str, checkpoint: str) -> None:
     """Writes (run, steps) of each run, once, in the batch in which its last step arrives.
 
-    State is the set of steps of each run and time of its start, until the watermark has passed that
-    time by ``delay``; Spark keeps it, no Python runs. A batch gives out all runs that it has changed, of
-    which those are new that no batch before has written. A retried batch overwrites its own folder.
+    State is the set of steps of each run and time of its start, each with the times of the batches that
+    brought it, until the watermark has passed the run's time by ``delay``; Spark keeps it, no Python
+    runs. A run is complete now and wasn't before if its steps of other batches are too few and all are
+    enough, so no batch reads what others have written, and a retried one, which has the time it had,
+    overwrites its own folder. ``tracked_runs`` also tells the runs that never complete.
     """
-    changed = stream.withWatermark(time, delay).groupBy(time, run).agg(F.size(F.collect_set(step)).cast("long").alias("steps"))
-    schema = f"{run} {stream.schema[run].dataType.simpleString()}, steps long"
+    now = F.current_timestamp()
+    given = stream.withWatermark(time, delay).where(F.col(step).isNotNull()).withColumn("_brought", now)
+    held = given.groupBy(time, run).agg(F.collect_set(F.struct(F.col(step).alias("step"), F.col("_brought").alias("at"))).alias("_held"))
+    count = lambda held: F.size(F.array_distinct(F.transform(held, lambda s: s["step"]))).cast("long")
+    counted = held.select(run, "_held", now.alias("_now")).select(run, count(F.col("_held")).alias("steps"), count(F.filter("_held", lambda s: s["at"] != F.col("_now"))).alias("before"))
 
     def write(batch: DataFrame, number: int) -> None:
-        full, spark = batch.where(F.col("steps") >= expected).select(run, "steps"), batch.sparkSession
-        if number:
-            told = spark.read.schema(f"{schema}, batch long").parquet(path).where(F.col("batch") < number).select(run)
-            full = full.join(told, run, "left_anti")
-        full.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        new = batch.where((F.col("steps") >= expected) & (F.col("before") < expected)).select(run, "steps")
+        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    changed.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    counted.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def window_number(time: Column, unit: str) -> Column:
+    """How many calendar windows of a unit (hour, day, week, month, quarter, year) have begun since 1970 before that of a time; weeks begin on Mondays."""
+    months = (F.year(time) - 1970) * 12 + F.month(time) - 1
+    days = F.date_diff(time.cast("date"), F.lit("1970-01-01").cast("date"))
+    numbers = {"hour": F.floor(F.unix_seconds(F.date_trunc("hour", time).cast("timestamp")) / 3600), "day": days, "week": F.floor((days + 3) / 7), "month": months, "quarter": F.floor(months / 3), "year": F.year(time) - 1970}
+    return numbers[unit].cast("long")
+
+
+def calendar_windows(stream: DataFrame, time: str, unit: str, end_offset: int, keys: list[str], **sums: Column) -> DataFrame:
+    """(start, end, keys, sums) by calendar window, given out once the stream has rows of a window that is -end_offset + 1 later.
+
+    The watermark counts windows, not seconds: the event time that Spark sees is the window's number
+    as so many seconds, so months of any length and weeks from Monday close by the same rule, and a
+    row of a closed window is late. An end_offset of 0 waits for the next window, -2 for two more.
+    """
+    slot = F.timestamp_seconds(window_number(F.col(time), unit))
+    start = F.date_trunc(unit, F.col(time)).cast("timestamp_ntz")
+    slotted = stream.withColumn("_slot", slot).withColumn("start", start).withWatermark("_slot", f"{1 - end_offset} seconds")
+    made = slotted.groupBy("_slot", "start", *keys).agg(*(c.alias(n) for n, c in sums.items()))
+    return made.select("start", (F.col("start") + F.expr(f"INTERVAL {3 if unit == 'quarter' else 1} {'MONTH' if unit == 'quarter' else unit.upper()}")).alias("end"), *keys, *sums)
+
+
+def parts_by_time(df: DataFrame, time: str, parts: int) -> list[DataFrame]:
+    """df as parts that follow each other in time and have about as many rows, for jobs that take up what has arrived; rows without a time are in the first."""
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    bounds = df.select(F.percentile_approx(at, F.lit([k / parts for k in range(1, parts)])).alias("b")).first()["b"] or []
+    low = F.coalesce(at, F.lit(-(1 << 63)))
+    number = F.lit(0)
+    for b in bounds:
+        number = number + (low > b).cast("int")
+    return [df.where(number == k) for k in range(len(bounds) + 1)]
