@@ -95,16 +95,31 @@ def solve_configurations(counts: np.ndarray, capacity: int, rounds: int = ROUNDS
 def plan_bins(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[list[int], int]]:
     """(lengths in one bin, number of such bins) for counts[length] items of each length.
 
-    The fractional cover is rounded down, never beyond what is left of a length; the rest goes by
-    best fit in order of falling length into the rounded bins' gaps and new bins. All work is on
-    groups of equal bins, so its cost depends on the histogram, not on the number of items.
+    The program's fractional cover is rounded. Rounding may cost a bin, so if there are more than the
+    tokens need at least, best fit without the program is tried, too, and the fewer bins count.
+    """
+    left = counts.astype(np.int64).copy()
+    left[capacity] = 0
+    planned = rounded(counts, capacity, solve_configurations(left, capacity, rounds))
+    bins = lambda plan: sum(n for _, n in plan)
+    if bins(planned) * capacity - int(counts @ np.arange(len(counts))) < capacity:
+        return planned
+    return min(planned, rounded(counts, capacity, []), key=bins)
+
+
+def rounded(counts: np.ndarray, capacity: int, cover: list[tuple[dict[int, int], float]]) -> list[tuple[list[int], int]]:
+    """(lengths in one bin, number of such bins) from a fractional cover.
+
+    The cover is rounded down, never beyond what is left of a length; the rest goes by best fit in
+    order of falling length into the rounded bins' gaps and new bins. All work is on groups of equal
+    bins, so its cost depends on the histogram, not on the number of items.
     """
     left = counts.astype(np.int64).copy()
     rooms: dict[int, list[tuple[list[int], int]]] = defaultdict(list)
     if left[capacity]:
         rooms[0].append(([capacity], int(left[capacity])))
         left[capacity] = 0
-    for config, x in solve_configurations(left, capacity, rounds):
+    for config, x in cover:
         n = min([int(x), *(int(left[length]) // k for length, k in config.items())])
         if n > 0:
             items = [length for length, k in config.items() for _ in range(k)]
@@ -135,7 +150,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Da
 
     The driver sees the histogram only, at most ``capacity`` numbers. Pieces of a length are numbered
     in parallel, by a salt and in order within it, and take the plan's slots for that length in turn.
+    Other columns may have any names but sequence_id and offset, which are refused. Repeated rows are
+    placed one by one; an empty table gives no rows.
     """
+    if {"sequence_id", "offset"} & set(parts.columns):
+        raise ValueError("sequence_id and offset are the columns that packing makes")
     parts = cut(parts)
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in parts.groupBy("length").count().collect():  # at most `capacity` rows
@@ -159,12 +178,12 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Da
     plan = parts.sparkSession.sparkContext.broadcast((np.array(keys, np.int64), np.array(bases, np.int64), np.array(offsets, np.int64)))
 
     salts = max(64, int(counts.sum()) >> 20)
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
-    size = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = size.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece"))
-    ranked = salted.withColumn("rank", rank).join(before, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("rank") - 1).select(*parts.columns, "rank")
-    at = ranked.columns.index("length"), ranked.columns.index("rank")
+    salted = parts.withColumn("_pack_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    size = salted.groupBy("length", "_pack_salt").agg(F.count("*").alias("_pack_n"))
+    before = size.select("length", "_pack_salt", (F.sum("_pack_n").over(Window.partitionBy("length").orderBy("_pack_salt")) - F.col("_pack_n")).alias("_pack_before"))
+    rank = F.row_number().over(Window.partitionBy("length", "_pack_salt").orderBy("doc_id", "piece"))
+    ranked = salted.withColumn("_pack_rank", rank).join(before, ["length", "_pack_salt"]).withColumn("_pack_rank", F.col("_pack_before") + F.col("_pack_rank") - 1).select(*parts.columns, "_pack_rank")
+    at = ranked.columns.index("length"), ranked.columns.index("_pack_rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, bases, offsets = plan.value
@@ -174,7 +193,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Da
             yield pa.record_batch([*batch.columns[:-1], pa.array(bases[slot] + rank), pa.array(offsets[slot])], [*names, "sequence_id", "offset"])
 
     names = parts.columns
-    return ranked.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema), "sequence_id long", "offset long"]))
+    return ranked.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema), "sequence_id long", "offset long"]))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
