@@ -29,8 +29,8 @@ BUCKETS = 1 << 18
 MARKED = 4.0
 #: At most so many of the words that a text has, and of those that it lacks, count in full, which keeps posteriors soft.
 EVIDENCE = 10.0
-#: Most rounds of the fit, off shares of tokens that count as none, and the weight of the multipliers' distance from where a fit starts.
-ROUNDS, TOLERANCE, HELD_BACK = 60, 1e-9, 1e-9
+#: Rounds after which a fit that hasn't settled is an error, off shares of tokens that count as none, and the weight of the multipliers' distance from where a fit starts.
+ROUNDS, TOLERANCE, HELD_BACK = 2_000, 1e-9, 1e-9
 #: Off shares of tokens that are reported.
 UNMET = 1e-6
 
@@ -125,11 +125,28 @@ def posteriors(docs: DataFrame, weights: DataFrame) -> DataFrame:
     return marked.select("doc_id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(power)))
 
 
-def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
+def attainable(targets: tuple[float, ...], shares: np.ndarray, most: float) -> np.ndarray:
+    """Targets of which none is over ``most`` times the share that its domain has; what that takes away goes to the other domains in proportion.
+
+    ``most`` is at least 1, so that shares which sum to 1 leave room for all.
+    """
+    out, free, bound = np.array(targets, float), np.ones(len(targets), bool), most * np.asarray(shares, float)
+    while (over := free & (out > bound + 1e-12)).any():
+        out[over], free = bound[over], free & ~over
+        if not free.any() or out[free].sum() <= 0:
+            break
+        out[free] *= (sum(targets) - out[~free].sum()) / out[free].sum()
+    return out
+
+
+def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds: int = ROUNDS, most: float | None = None) -> DataFrame:
     """members (doc_id, n_tokens, p0, p1, ...) with ``rate``, 0 or more, such that sum(rate * n_tokens * p_k) is the targets times all tokens.
 
-    Also ``wanted`` and ``reached``, those sums as shares of all tokens, one number per domain. Targets
-    that no rates meet are met as nearly as least squares can, with a warning.
+    Also ``wanted`` and ``reached``, those sums as shares of all tokens, one number per domain. With
+    ``most``, a target is first limited to so many times its domain's share (``attainable``), so that
+    what is hardly there isn't asked for, and ``wanted`` is what was asked. Targets that no rates meet
+    are met as nearly as least squares can, with a warning; without ``most`` rates may then be large.
+    A fit that hasn't settled after ``rounds`` is an error.
 
     Projected gradient from a rate of 1, distances between rates weighted by tokens, so that long and
     short documents of one membership have the same rate. The steps are added up before they are
@@ -167,6 +184,8 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds:
 
     y = start = np.zeros(len(names))
     half, reached, gram = sums(y)
+    if most is not None:
+        wanted = attainable(targets, reached, most)
     used = 1
     size, base = np.linalg.eigh(gram)
     base = base[:, size > RANK * size.max()]
@@ -192,26 +211,28 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds:
             break
         y, (half, reached, gram) = trial, found
         best = min(best, (np.linalg.norm(reached - wanted), y, reached), key=lambda x: x[0])
+    else:
+        raise RuntimeError(f"the rates haven't settled in {rounds} rounds")
     off, y, reached = best
     if off > UNMET:
         warnings.warn(f"targets {wanted.tolist()} aren't met: reached {reached.tolist()}", stacklevel=2)
     return done(rate_at(y), reached)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None, most: float | None = None) -> DataFrame:
     """(doc_id, n_tokens, p0, p1, p2, rate, wanted, reached) for each doc_id of docs; the classifier is fitted on labelled_docs, docs by default."""
     weights = cut(fit_classifier(labelled_docs or docs, labels))
-    return fit_rates(cut(posteriors(docs, weights)), targets)
+    return fit_rates(cut(posteriors(docs, weights)), targets, most=most)
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, labelled_docs: DataFrame | None = None, most: float | None = None) -> DataFrame:
     """docs resampled at the fitted rates, columns as given, whatever their names.
 
     A row of rate r comes floor(r) times, and once more for a share of r - floor(r) by a hash of its
     id. Null ids are one group with one rate; null and empty texts have no tokens but a rate, too; an
-    empty table gives no rows.
+    empty table gives no rows. ``most`` limits targets as in ``fit_rates``.
     """
-    rates = mix(docs.select("doc_id", "text"), labels, targets, labelled_docs).select(F.col("doc_id").alias("rate_id"), "rate")
+    rates = mix(docs.select("doc_id", "text"), labels, targets, labelled_docs, most).select(F.col("doc_id").alias("rate_id"), "rate")
     chance = F.pmod(F.xxhash64("rate_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = rates.select("rate_id", F.sequence(F.lit(1), F.floor(F.col("rate") + chance).cast("int")).alias("copies"), F.floor(F.col("rate") + chance).alias("times")).where("times > 0")
     names = [f"given_{k}" for k in range(len(docs.columns))]
