@@ -13,6 +13,8 @@ from geoframe.llm.suffix import without_repeats
 
 #: Bytes of a repeated passage; 51 words of these languages have more.
 PASSAGE = 200
+#: A domain is brought to at most so many times its share of the tokens.
+MOST = 4.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +33,12 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def target_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as their rate says, some not at all, columns as given. Rows that repeat are equal. An empty table gives no rows."""
-    return mixed(docs, table(spark, sf_dir, "labels"))
+    """Rows as often as their rate says, some not at all, columns as given. Rows that repeat are equal. An empty table gives no rows.
+
+    The rules before have removed most of a domain, so a target is at most MOST times the share that is left of its domain.
+    Rows with a null id are one group with one rate.
+    """
+    return mixed(docs, table(spark, sf_dir, "labels"), most=MOST)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
