@@ -37,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Deletes the files of checkpoints that nothing reads any more: what came of them has been cut or written itself."""
+    for df in frames:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            session = df.sparkSession
+            path = session._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as compressed Parquet to the shared folder and reads it back."""
     spark = df.sparkSession

@@ -16,7 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoframe.llm.common import bounded, components, cut, forget, steps, table, text_bytes
+from geoframe.llm.common import bounded, components, cut, forget, release, steps, table, text_bytes
+from geoframe.llm.parts import taken_apart
 
 SEED = 42
 #: A bucket with more fingerprints than this is searched by shared centres instead of by pairs; both ways are exact.
@@ -316,14 +317,16 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     bits, which are verified by their similarity; all other pairs share one of their rarest shingles.
     First a part of each set, in order of hash, tells which texts share enough with others; only
     their sets are counted whole (``rarest``). Texts that share a rarest shingle with few are compared
-    by pairs, larger groups in blocks (``block_links``), so that no group emits its pairs.
+    by pairs; larger groups are taken apart by parts of their sets where that helps (``taken_apart``),
+    and what is left is compared in blocks (``block_links``), so that no group emits its pairs.
     digest is the SHA-256 of the text; rows that repeat an id with different texts are told apart by
     it, and their groups by text_group. component_id is the smallest doc_id reachable. Null texts and null ids are in no group;
     wordless texts only link to equal ones. An empty table gives no rows; other columns don't matter.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null").withColumn("digest", F.unhex(F.sha2("text", 256)))
     each = cut(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")))
-    first = each.groupBy("digest").agg(F.min("doc_id").alias("least"), F.sum("n").alias("copies"))
+    # cut, so that Spark can split the rows of a text with very many copies in the join
+    first = cut(each.groupBy("digest").agg(F.min("doc_id").alias("least"), F.sum("n").alias("copies")))
     others = cut(each.join(first, "digest").where("doc_id > least").select("doc_id", "digest"))
     if each.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1").isEmpty():
         first = cut(first.withColumn("node", F.col("least")))
@@ -337,7 +340,10 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     twice = cut(prefix.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle"))
     shares = prefix.join(twice, "shingle").groupBy("node").agg(F.count("*").alias("n"))
     rich = cut(sketch.select("node", "fp", "need").join(shares, "node").where("n >= need").select("node", "fp"))
-    sets = cut(rarest(cut(shingle_sets(texts.join(bounded(rich), "node"), shingle)), similarity))
+    release(sketch, twice)
+    whole = cut(shingle_sets(texts.join(bounded(rich), "node"), shingle))
+    sets = cut(rarest(whole, similarity))
+    release(whole, rich)
 
     prints = cut(sets.groupBy("fp").agg(F.min("node").alias("node")))
     same = sets.join(prints.withColumnRenamed("node", "least"), "fp").where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
@@ -345,8 +351,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     groups = cut(rare.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"))
     pairs = cut(same.union(link(prints, 2, 5)).union(few_pairs(rare, groups)).distinct())
     crowd = components(rare.join(groups.where(F.col("n") > FEW), "shingle").select(F.col("node").alias("a"), F.col("least").alias("b")))
-    clusters = sets.join(crowd.withColumnRenamed("component", "cluster"), "node").select("cluster", "node", "size", "shared")
-    found = components(similar(pairs, sets, similarity).union(block_links(clusters, similarity)))
+    clusters = cut(sets.join(crowd.withColumnRenamed("component", "cluster"), "node").select("cluster", "node", "size", "shared"))
+    found = components(similar(pairs, sets, similarity).union(block_links(taken_apart(clusters, similarity), similarity)))
+    release(sets, prints, groups, pairs, clusters)
 
     named = first.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = named.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("copies").alias("n")).where("n > 1").drop("n")
