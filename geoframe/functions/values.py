@@ -30,17 +30,23 @@ def scaled(value: Column, gain: float, offset: float = 0.0) -> Column:
     return value * gain + offset
 
 
-def _exponent(size: Column) -> Column:
-    """Exponent of the power of two at or below a positive finite number; the logarithm may be off by rounding at powers."""
-    near = F.floor(F.log2(size)).cast("double")
-    return F.when(F.pow(F.lit(2.0), near) > size, near - 1).when(F.pow(F.lit(2.0), near + 1) <= size, near + 1).otherwise(near)
+def _step(size: Column, bits: int, least: int) -> Column:
+    """The power of two at or below a positive finite number over 2^bits, at least 2^least; the logarithm may be off by rounding at powers.
+
+    Without branches, so that Spark evaluates the logarithm and the power once, however often they are used.
+    """
+    near = F.pow(F.lit(2.0), F.floor(F.log2(size)).cast("double"))
+    exact = near * (F.lit(1.0) + (near * 2 <= size).cast("double") - (near > size).cast("double") / 2)
+    return F.greatest(exact * 2.0**-bits, F.lit(2.0**least))
 
 
 def _rounded(value: Column, bits: int, least: int) -> Column:
-    """value to a multiple of its power of two over 2^bits, of 2^least at least, ties to even; zero, infinity and NaN as they are."""
-    size = F.abs(value)
-    step = F.pow(F.lit(2.0), F.greatest(_exponent(size) - bits, F.lit(float(least))))
-    return F.when((value == 0) | F.isnan(value) | (size == float("inf")), value).otherwise(F.rint(value / step) * step)
+    """value to a multiple of its power of two over 2^bits, of 2^least at least, ties to even; zero, infinity and NaN as they are.
+
+    Zero has no logarithm and so a null result, infinity gives NaN; both fall back to the value.
+    """
+    step = _step(F.abs(value), bits, least)
+    return F.nanvl(F.coalesce(F.rint(value / step) * step, value), value)
 
 
 def to_half(value: Column) -> Column:
