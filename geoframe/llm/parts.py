@@ -96,6 +96,9 @@ def taken_apart(members: DataFrame, similarity: float) -> DataFrame:
     cost = held.groupBy("cluster").agg(F.sum(square("n")).alias("apart"))
     whole = members.groupBy("cluster").agg(F.count("*").alias("all"))
     loose = cut(whole.join(cost, "cluster", "left").where(F.coalesce("apart", F.lit(0.0)) < WORTH * square("all")).select("cluster"))
+    if loose.isEmpty():
+        release(keys, held)
+        return members.select("cluster", "node", "size", "shared")
     dense = members.join(loose, "cluster", "left_anti").select("cluster", "node", "size", "shared")
     groups = cut(keys.join(loose, "cluster", "left_semi").join(held.select("cluster", "key"), ["cluster", "key"]).select("key", "node"))
     release(keys, held)
