@@ -76,10 +76,6 @@ def chunks(df: DataFrame, index: str, size: int, values: list[str], keys: list[s
     return df.groupBy(*(keys or []), block.alias("chunk")).agg(F.array_sort(F.collect_list(F.struct(index, *values))).alias("rows"))
 
 
-def unchunked(df: DataFrame) -> DataFrame:
-    return df.select(F.explode("rows").alias("r")).select("r.*")
-
-
 def transposed(payload: Column, height: int, width: int) -> Column:
     """Row-major payload of a height x width scene as that of the width x height one."""
     return F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda k: F.get(payload, (k % height) * width + F.floor(k / height).cast("int")))

@@ -98,3 +98,10 @@ def gen6_global(spark, sf_dir):
     present = R.variable_weeks(weeks.where(F.year("start") == 1997), ("direct_solar_radiation",))
     made = K.global_air_quality(weeks, present)
     return made.groupBy(F.col("start").cast("string").alias("start"), "variable").agg(F.count("*").alias("n"), F.min("run").alias("first_run"), F.max("lead_hour").alias("last_lead"))
+
+
+@query("GEN6_europe_heights", f"SELECT CAST(start AS VARCHAR) AS start, height, count(*) AS n, count(DISTINCT variable) AS variables, max(lead) AS last_lead FROM (SELECT DISTINCT date_trunc('week', o_orderdate)::DATE AS start FROM orders), (SELECT unnest({list(R.AIR_QUALITY)}) AS variable), (SELECT unnest({list(R.AIR_QUALITY_HEIGHTS)}) AS height), (SELECT CAST(k AS INT) AS lead FROM range(97) t(k)) WHERE NOT (variable = 'ozone' AND year(start) = 1997) GROUP BY 1, 2")
+def gen6_europe(spark, sf_dir):
+    weeks = table(spark, sf_dir, "orders").select(F.to_date(F.date_trunc("week", "o_orderdate")).alias("start")).distinct()
+    made = K.european_air_quality(weeks, R.variable_weeks(weeks.where(F.year("start") == 1997), ("ozone",)))
+    return made.groupBy(F.col("start").cast("string").alias("start"), "height").agg(F.count("*").alias("n"), F.count_distinct("variable").alias("variables"), F.max("lead_hour").alias("last_lead"))

@@ -93,3 +93,10 @@ def global_air_quality(weeks: DataFrame, present: DataFrame | None = None) -> Da
     files = R.variable_weeks(weeks, AIR_QUALITY_GLOBAL, present)
     runs = F.explode(F.array(*map(F.lit, RUNS_GLOBAL)))
     return files.withColumn("run", runs).withColumn("lead_hour", F.explode(F.sequence(F.lit(LEAD_HOURS_GLOBAL.start), F.lit(LEAD_HOURS_GLOBAL.stop - 1))))
+
+
+def european_air_quality(weeks: DataFrame, present: DataFrame | None = None) -> DataFrame:
+    """(start, variable, file, lead_hour, height): what a week's request of each variable of the European forecast, one run a day, asks for; files that are present are left out."""
+    files = R.variable_weeks(weeks, R.AIR_QUALITY, present)
+    hours = F.explode(F.sequence(F.lit(R.AIR_QUALITY_HOURS.start), F.lit(R.AIR_QUALITY_HOURS.stop - 1)))
+    return files.withColumn("lead_hour", hours).withColumn("height", F.explode(F.array(*map(F.lit, R.AIR_QUALITY_HEIGHTS))))

@@ -166,7 +166,3 @@ def export_blocks(df: DataFrame, key: str, block: Column, path: str) -> str:
     """A folder for each block of keys, rows of a key together and in order."""
     df.withColumn("block", block).repartition("block").sortWithinPartitions("block", key).write.mode("overwrite").partitionBy("block").parquet(path)
     return path
-
-
-def union_stores(stores: list[Store]) -> DataFrame:
-    return reduce(DataFrame.unionByName, (s.read() for s in stores))
