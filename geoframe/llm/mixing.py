@@ -31,6 +31,8 @@ MARKED = 4.0
 EVIDENCE = 10.0
 #: Rounds after which a fit that hasn't settled ends with a warning, off shares of tokens that count as none, and the weight of the multipliers' distance from where a fit starts.
 ROUNDS, TOLERANCE, HELD_BACK = 400, 1e-9, 1e-9
+#: A fit has settled if so many rounds bring it no nearer by STALL, in shares of tokens.
+PATIENCE, STALL = 60, 1e-8
 #: Documents that a task of a round sums up; a round is short, and many tasks would leave many small files.
 ROWS = 1 << 18
 #: Off shares of tokens that are reported.
@@ -193,6 +195,7 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds:
     size, base = np.linalg.eigh(gram)
     base = base[:, size > RANK * size.max()]
     best, last = (np.linalg.norm(reached - wanted), y, reached), math.inf
+    nearest, since = best[0], 0
     while used < rounds:
         value = lambda h, at: h + wanted @ at + HELD_BACK / 2 * (at - start) @ (at - start)
         slope = base.T @ (wanted - reached + HELD_BACK * (y - start))
@@ -214,6 +217,9 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, rounds:
             break
         y, (half, reached, gram) = trial, found
         best = min(best, (np.linalg.norm(reached - wanted), y, reached), key=lambda x: x[0])
+        nearest, since = (best[0], used) if best[0] < nearest - STALL else (nearest, since)
+        if used - since >= PATIENCE:
+            break
     else:
         warnings.warn(f"the rates haven't settled in {rounds} rounds", stacklevel=2)
     off, y, reached = best
