@@ -128,11 +128,11 @@ FROM r WHERE len(lines) >= 4 OR o_orderdate <= (SELECT max(o_orderdate) FROM r)
 def str7_deadlines(spark, sf_dir):
     runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("init_time"))
     steps = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber")).join(runs, "l_orderkey")
-    files, path, progress = scratch(spark, "steps"), scratch(spark, "told"), scratch(spark, "progress")
-    schema = "l_orderkey long, status string, steps long, missing array<long>, init_time timestamp"
-    for part in J.parts_by_time(steps, "init_time", 3):
+    held, files, path, progress = (scratch(spark, n) for n in ("held", "steps", "told", "progress"))
+    steps.write.parquet(held)
+    for part in J.parts_by_time(spark.read.schema(steps.schema).parquet(held), "init_time", 3):
         part.write.mode("append").parquet(files)
         stream = spark.readStream.schema(steps.schema).parquet(files).withColumn("init_time", F.col("init_time").cast("timestamp"))
-        with J.timers(spark):
-            J.to_files(J.tracked_runs(stream, "l_orderkey", "l_linenumber", 4, "init_time", "30 days", first=1, last=64), path, progress)
-    return spark.read.schema(schema).parquet(path).select("l_orderkey", "status", "steps", F.concat_ws(",", F.transform("missing", lambda k: k.cast("string"))).alias("missing"))
+        J.deadline_runs(stream, "l_orderkey", "l_linenumber", 4, "init_time", "30 days", path, progress, first=1)
+    told = J.told_runs(spark, path, "l_orderkey long, init_time timestamp", 4)
+    return told.select("l_orderkey", "status", "steps", F.concat_ws(",", F.transform("missing", lambda k: k.cast("string"))).alias("missing"))

@@ -63,28 +63,71 @@ def ledger_sink(store: Store, product: str, offset: int = 0) -> Callable[[DataFr
     return lambda batch, number: store.append_products(batch.select(store.schema.names), product, number + offset) and None
 
 
-def complete_runs(stream: DataFrame, run: str, step: str, expected: int, time: str, delay: str, path: str, checkpoint: str) -> None:
-    """Writes (run, steps) of each run, once, in the batch in which its last step arrives.
+def _changed_runs(stream: DataFrame, run: str, step: str, time: str, delay: str) -> DataFrame:
+    """(time, run, seen, steps, before) of each run that a batch of a stream has rows of: its different steps, how many they are, and how many of them other batches brought.
 
     State is the set of steps of each run and time of its start, each with the times of the batches that
-    brought it, until the watermark has passed the run's time by ``delay``; Spark keeps it, no Python
-    runs. A run is complete now and wasn't before if its steps of other batches are too few and all are
-    enough, so no batch reads what others have written, and a retried one, which has the time it had,
-    overwrites its own folder. ``tracked_runs`` also tells the runs that never complete.
+    brought it, until the watermark has passed the run's time by ``delay``; Spark keeps it, no Python runs.
+    A retried batch has the time it had, so it counts as itself. Null steps count as none.
     """
     now = F.current_timestamp()
-    given = stream.withWatermark(time, delay).where(F.col(step).isNotNull()).withColumn("_brought", now)
-    held = given.groupBy(time, run).agg(F.collect_set(F.struct(F.col(step).alias("step"), F.col("_brought").alias("at"))).alias("_held"))
-    count = lambda held: F.size(F.array_distinct(F.transform(held, lambda s: s["step"]))).cast("long")
-    counted = held.select(run, "_held", now.alias("_now")).select(run, count(F.col("_held")).alias("steps"), count(F.filter("_held", lambda s: s["at"] != F.col("_now"))).alias("before"))
+    given = stream.withWatermark(time, delay).withColumn("_brought", now)
+    brought = F.when(F.col(step).isNotNull(), F.struct(F.col(step).alias("step"), F.col("_brought").alias("at")))
+    held = given.groupBy(time, run).agg(F.collect_set(brought).alias("_held"))
+    different = lambda held: F.array_distinct(F.transform(held, lambda s: s["step"]))
+    other = F.filter("_held", lambda s: s["at"] != F.col("_now"))
+    seen = held.select(time, run, "_held", now.alias("_now")).select(time, run, different(F.col("_held")).alias("seen"), F.size(different(other)).cast("long").alias("before"))
+    return seen.select(time, run, "seen", F.size("seen").cast("long").alias("steps"), "before")
+
+
+def complete_runs(stream: DataFrame, run: str, step: str, expected: int, time: str, delay: str, path: str, checkpoint: str) -> None:
+    """Writes (run, steps) of each run, once, in the batch in which its last step arrives.
+
+    A run is complete now and wasn't before if its steps of other batches are too few and all are
+    enough, so no batch reads what others have written, and a retried one overwrites its own folder.
+    ``deadline_runs`` also tells the runs that never complete.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         new = batch.where((F.col("steps") >= expected) & (F.col("before") < expected)).select(run, "steps")
         new.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+    counted = _changed_runs(stream.where(F.col(step).isNotNull()), run, step, time, delay)
     counted.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def deadline_runs(stream: DataFrame, run: str, step: str, expected: int, time: str, delay: str, path: str, checkpoint: str, first: int = 0) -> None:
+    """Tells each run of a stream, once, as ``tracked_runs`` does, but without Python; ``told_runs`` reads what it tells.
+
+    A first stream writes each batch's changed runs, whose new complete ones it thereby tells. A second
+    one takes these up: it holds a run's last count until the watermark, ``delay`` behind the latest
+    time, has reached the run's time, and tells it as expired if steps are lacking. It sees only rows
+    that weren't late for the first one, and its watermark is never ahead, so no run is told twice or
+    lost, however batches fall and wherever a job was ended. A run is known by its name and time; rows without either are left out, any
+    different steps count, those from ``first`` on are named as missing.
+    """
+    given = stream.where(F.col(run).isNotNull() & F.col(time).isNotNull())
+    wanted = F.array(*(F.lit(first + k).cast(stream.schema[step].dataType) for k in range(expected)))
+    changed = _changed_runs(given, run, step, time, delay).select(time, run, "steps", "before", F.array_except(wanted, "seen").alias("missing"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/changed/{number}")
+
+    changed.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{checkpoint}/changed").trigger(availableNow=True).start().awaitTermination()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in changed.schema)
+    last = stream.sparkSession.readStream.schema(schema).parquet(f"{path}/changed/*").withWatermark(time, delay)
+    closed = last.groupBy(time, run).agg(F.max(F.struct("steps", "missing")).alias("_last"))
+    to_files(closed.where(F.col("_last.steps") < expected).select(time, run, "_last.steps", "_last.missing"), f"{path}/expired", f"{checkpoint}/expired")
+
+
+def told_runs(spark: SparkSession, path: str, schema: str, expected: int) -> DataFrame:
+    """(run, status, steps, missing, time) of the runs that ``deadline_runs`` has told; schema: run and time, as DDL."""
+    run, time = (x.split()[0] for x in schema.split(", "))
+    read = lambda name, more: spark.read.schema(f"{schema}, steps long, missing array<long>{more}").parquet(f"{path}/{name}")
+    complete = read("changed/*", ", before long").where((F.col("steps") >= expected) & (F.col("before") < expected)).withColumns({"status": F.lit("complete"), "missing": F.array().cast("array<long>")})
+    return complete.select(run, "status", "steps", "missing", time).unionByName(read("expired", "").withColumn("status", F.lit("expired")).select(run, "status", "steps", "missing", time))
+
+
 def window_number(time: Column, unit: str) -> Column:
     """How many calendar windows of a unit (hour, day, week, month, quarter, year) have begun since 1970 before that of a time; weeks begin on Mondays."""
     months = (F.year(time) - 1970) * 12 + F.month(time) - 1

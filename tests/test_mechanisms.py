@@ -69,6 +69,26 @@ def test_complete_runs_reads_no_earlier_output(spark):
     assert seen == [[], [("a", 2)], [("a", 2), ("b", 3)], [("a", 2), ("b", 3)]]
 
 
+def test_deadline_runs_need_no_python_and_tell_once(spark):
+    path, progress, files = (scratch(spark, n) for n in ("told", "progress", "files"))
+    done, lacks, late = ("a", "complete", 3, ""), ("b", "expired", 2, "1"), ("c", "complete", 3, "")
+    deliveries = [
+        ([("a", 0, at(1)), ("a", 2, at(1)), ("b", 0, at(2)), ("b", 0, at(2)), (None, 1, at(2)), ("b", None, at(2)), ("n", 0, None)], []),
+        ([("a", 1, at(1)), ("b", 2, at(2))], [done]),
+        ([("a", 1, at(1)), ("a", 0, at(1)), ("d", None, at(6))], [done]),
+        ([("c", 0, at(8)), ("c", 1, at(8))], [done, lacks]),
+        # the watermark is at day 3: late steps of a and b change nothing, c goes on
+        ([("b", 1, at(2)), ("a", 2, at(1)), ("c", 2, at(8))], [done, lacks, late]),
+        ([("e", 0, at(20))], [done, lacks, late, ("d", "expired", 0, "0,1,2")]),
+    ]
+    for rows, want in deliveries:
+        spark.createDataFrame(rows, STEPS).coalesce(1).write.mode("append").parquet(files)
+        stream = spark.readStream.schema(STEPS).parquet(files).withColumn("init", F.col("init").cast("timestamp"))
+        J.deadline_runs(stream, "run", "step", 3, "init", "5 days", path, progress)
+        told = J.told_runs(spark, path, "run string, init timestamp", 3)
+        assert sorted(map(tuple, told.select("run", "status", "steps", F.concat_ws(",", F.col("missing").cast("array<string>"))).collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("unit", ["hour", "day", "week", "month", "quarter", "year"])
 def test_window_numbers_follow_the_calendar(spark, unit):
     rows = [(dt.datetime(1969, 12, 31, 23) + dt.timedelta(hours=h),) for h in (*range(0, 2000, 7), *range(400000, 402000, 11))]
