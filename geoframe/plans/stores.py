@@ -24,7 +24,7 @@ from geoframe.sources import checked as X
 from geoframe.sources import manifest as M
 from geoframe.sources import readers as R
 from geoframe.sources import report as P
-from geoframe.sources.store import Store, export_blocks, export_csv, export_text, scratch
+from geoframe.sources.store import Store, export_blocks, export_csv, export_text, scratch, write_folders
 
 
 def daily(spark, sf_dir):
@@ -46,7 +46,7 @@ def interrupted(store, rows, product, batch):
 @query("SRC1_station_years", "SELECT o_custkey AS station, year(o_orderdate)::INT AS year, o_totalprice AS value FROM orders WHERE year(o_orderdate) IN (1996, 1997)")
 def src1(spark, sf_dir):
     path = scratch(spark, "station-years")
-    table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("station"), F.col("o_totalprice").alias("value"), F.year("o_orderdate").alias("year")).repartition("year").write.partitionBy("year").parquet(path)
+    write_folders(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("station"), F.col("o_totalprice").alias("value"), F.year("o_orderdate").alias("year")), path, ["year"])
     return R.station_years(spark, path, "station long, value double, year int", years=[1996, 1997]).select("station", "year", "value")
 
 
@@ -142,7 +142,7 @@ def _above_own_minimum(df, gain=1.0):
 def src9_nested(spark, sf_dir):
     path = scratch(spark, "nested")
     given = table(spark, sf_dir, "events").select("event_id", "value", "event_type", (F.col("user_id") % 2).cast("int").alias("half"))
-    given.repartition("event_type", "half").write.partitionBy("event_type", "half").parquet(path)
+    write_folders(given, path, ["event_type", "half"])
     bands = [r[0] for r in given.select("event_type").distinct().orderBy("event_type").collect()]
     files = {b: {h: f"{path}/event_type={b}/half={h}" for h in (0, 1)} for b in bands}
     return R.nested_files(spark, files, _above_own_minimum, "band", "half", "event_id long, value double", gain=3.0).withColumn("value", F.round("value", 6))
@@ -151,7 +151,7 @@ def src9_nested(spark, sf_dir):
 @query("SRC10_file_discovery", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events")
 def src10(spark, sf_dir):
     path = scratch(spark, "found")
-    table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).repartition("day").write.partitionBy("day").parquet(path)
+    write_folders(table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day")), path, ["day"])
     return R.discovered(spark, path, "*.parquet").select(F.regexp_extract("path", "day=([0-9-]+)", 1).alias("day")).distinct()
 
 

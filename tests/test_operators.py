@@ -12,7 +12,7 @@ from geoframe.operators import join as J
 from geoframe.operators import select as L
 from geoframe.operators import shape as S
 from geoframe.sources.requests import Fields
-from geoframe.sources.store import Store, scratch
+from geoframe.sources.store import OPEN_FILES, Store, export_blocks, scratch
 
 HERE = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -100,6 +100,40 @@ def test_store_writes_are_idempotent(spark):
         store.append(new.withColumn("other", F.lit(1)))
 
 
+@pytest.fixture
+def small_tasks(spark):
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000b", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, small_tasks):
+    before = spark.conf.get(OPEN_FILES)
+    df = spark.range(60000, numPartitions=8).select(F.xxhash64("id").alias("k"), F.when(F.col("id") % 50 == 0, "b").otherwise("a").alias("part"))
+    store = Store(spark, scratch(spark, "large"), ["part"]).create(df)
+    files = store.read().select("part", F.input_file_name().alias("f"), "k").groupBy("part", "f").count().groupBy("part").agg(F.count("*").alias("files"), F.sum("count").alias("rows")).collect()
+    assert {r.part: r.rows for r in files} == {"a": 58800, "b": 1200}
+    assert {r.part: r.files for r in files}["a"] >= 4
+    assert sorted(map(tuple, store.read().collect())) == sorted(map(tuple, df.collect()))
+    assert spark.conf.get(OPEN_FILES) == before
+
+
+def test_blocks_keep_a_key_together_and_in_order(spark, small_tasks):
+    df = spark.range(40000, numPartitions=4).select((F.col("id") * 7 % 90).alias("key"), "id")
+    path = export_blocks(df, "key", F.floor(F.col("key") / 50).cast("long"), scratch(spark, "blocks"))
+    seen = {}
+    for r in spark.read.parquet(path).select("key", "block", "id", F.input_file_name().alias("f")).collect():
+        assert r.block == r.key // 50
+        seen.setdefault(r.f, []).append(r.key)
+    assert all(v == sorted(v) for v in seen.values()) and sum(map(len, seen.values())) == 40000
+    assert all(len([1 for v in seen.values() if k in v]) == 1 for k in range(90))
+    assert len(seen) > 2
+
+
 def test_fields_need_a_main_family():
     with pytest.raises(ValueError, match="at least one"):
         Fields(invariant=("clat",))
